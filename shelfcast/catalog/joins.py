@@ -88,7 +88,7 @@ def j12_anti_joins(spark, sf):
 @query(
     "j13_price_calendar",
     """with w as (select unique_id, cast(floor((date - date '1970-01-05') / 7) as int) as wm_yr_wk,
-                     round(avg(sell_price), 4) as sell_price from f4 group by 1, 2),
+                     max(sell_price) as sell_price from f4 group by 1, 2),
        c as (select date, cast(floor((date - date '1970-01-05') / 7) as int) as wm_yr_wk from f5)
        select unique_id, date, w.wm_yr_wk, sell_price from w join c on w.wm_yr_wk = c.wm_yr_wk""",
 )
@@ -99,7 +99,7 @@ def j13_price_calendar(spark, sf):
     prices = (
         p.brand_covariates(spark, sf)
         .groupBy("unique_id", week)
-        .agg(F.round(F.avg("sell_price"), 4).alias("sell_price"))
+        .agg(F.max("sell_price").alias("sell_price"))
     )
     calendar = p.day_class(spark, sf).select("date", week)
     return panel.price_calendar(prices, calendar)

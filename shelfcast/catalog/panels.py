@@ -79,7 +79,7 @@ def event_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def brand_covariates(spark: SparkSession, sf: str) -> DataFrame:
     """price, event category and flag per brand and day."""
-    price = F.round(F.avg(F.col("l_extendedprice") / F.col("l_quantity")), 6)
+    price = F.max(F.col("l_extendedprice") / F.col("l_quantity"))
     return (
         sold(spark, sf)
         .groupBy(F.col("p_brand").alias("unique_id"), "date")
@@ -93,7 +93,7 @@ def brand_covariates(spark: SparkSession, sf: str) -> DataFrame:
 
 def brand_with_covariates(spark: SparkSession, sf: str) -> DataFrame:
     """F1 and F4 in one aggregate."""
-    price = F.round(F.avg(F.col("l_extendedprice") / F.col("l_quantity")), 6)
+    price = F.max(F.col("l_extendedprice") / F.col("l_quantity"))
     return (
         sold(spark, sf)
         .groupBy(F.col("p_brand").alias("unique_id"), "date")
@@ -269,7 +269,7 @@ PARTS: dict[str, str] = {
         from events group by 1, 2""",
     "f4": """
         select p_brand as unique_id, date,
-               round(avg(l_extendedprice / l_quantity), 6) as sell_price,
+               max(l_extendedprice / l_quantity) as sell_price,
                max(l_returnflag) as event_type_1,
                cast(max(case when l_linestatus = 'O' then 1 else 0 end) as int) as snap
         from sold group by 1, 2""",
