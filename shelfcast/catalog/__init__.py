@@ -9,6 +9,7 @@ def load():
         features,
         filters,
         forecasts,
+        globals,
         joins,
         publishing,
         registry,

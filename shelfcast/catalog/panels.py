@@ -344,21 +344,21 @@ PARTS: dict[str, str] = {
     "prim": """
         select unique_id, date, fh, cast(round_even(greatest(y, 0), 0) as double) as y, 'Primary' as Model
         from pf where Model = 'SeasonalWindowAverage'""",
-    "both": """
+    "mixed": """
         select unique_id, date, fh, y, Model from prim
         union all
         select unique_id, date, fh, greatest(y, 0), Model from pf where Model = 'SeasonalNaive'""",
-    "gap": """
+    "gap_of": """
         select p.unique_id, avg(abs(p.y - b.y)) as AbsDifference
-        from prim p join both b on b.Model = 'SeasonalNaive' and p.unique_id = b.unique_id and p.date = b.date
+        from prim p join mixed b on b.Model = 'SeasonalNaive' and p.unique_id = b.unique_id and p.date = b.date
         group by 1""",
     "colour": """
         select unique_id, AbsDifference,
                case when AbsDifference < 20 then 'green' when AbsDifference < 40 then 'yellow'
                     else 'red' end as Color
-        from gap""",
+        from gap_of""",
     "pub": """
-        select both.*, colour.Color from both left join colour on both.unique_id = colour.unique_id""",
+        select mixed.*, colour.Color from mixed left join colour on mixed.unique_id = colour.unique_id""",
     "pubt": """
         select pub.*, tr.y as "True" from pub
         left join tr on pub.unique_id = tr.unique_id and pub.date = tr.date""",
