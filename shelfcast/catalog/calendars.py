@@ -218,7 +218,7 @@ def g14_day_columns(spark, sf):
         p.sold(spark, sf)
         .select(dates.period_start(F.col("date"), "M").alias("date"))
         .agg(F.min("date").alias("a"), F.max("date").alias("b"))
-        .select(F.posexplode(F.sequence("a", "b", F.expr("interval 1 month"))).alias("k", "date"))
+        .select(F.posexplode_outer(F.sequence("a", "b", F.expr("interval 1 month"))).alias("k", "date"))
         .select(F.concat(F.lit("d_"), (F.col("k") + 1).cast("string")).alias("d"), "date")
     )
     return panel.melt_day_columns(wide, calendar, keys)

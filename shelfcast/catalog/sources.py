@@ -1 +1,275 @@
-"""Queries."""
+"""Files written from the test tables and read back, and the weekly cycle."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from shelfcast.catalog import panels as p
+from shelfcast.catalog.registry import query, rounded
+from shelfcast.config import ForecastConfig, Labels, ModelConfig, Profile
+from shelfcast.operators import models, panel, publish, scoring
+from shelfcast.session import staging_path
+from shelfcast.sources import files
+
+LABELS = Labels()
+
+
+def _stage_csv(spark, df, name, sep=","):
+    path = staging_path(spark, name)
+    df.write.csv(path, header=True, sep=sep)
+    return path
+
+
+@query("s1_read_history", "select * from f1")
+def s1_read_history(spark, sf):
+    dotted = p.brand_sales(spark, sf).withColumn("date", F.date_format("date", "yyyy.MM.dd"))
+    return files.read_table(spark, _stage_csv(spark, dotted, "main.csv"), files.HISTORY)
+
+
+@query("s2_read_update", "select * from f1 where date > (select max(date) from f1) - 7")
+def s2_read_update(spark, sf):
+    last = p.span(spark, sf)[1]
+    week = p.brand_sales(spark, sf).where(F.col("date") > F.date_sub(F.lit(last), 7))
+    return files.read_update(spark, _stage_csv(spark, week, "update.csv", ";"))
+
+
+@query("s3_read_future", "select unique_id, date as ds, sell_price, event_type_1, snap from f4")
+def s3_read_future(spark, sf):
+    path = _stage_csv(spark, p.brand_covariates(spark, sf), "future.csv")
+    schema = "unique_id string, date string, sell_price double, event_type_1 string, snap int"
+    return files.read_future(spark, path, schema)
+
+
+@query("s4_read_client_forecasts", "select unique_id, date, y, Model from pub")
+def s4_read_client_forecasts(spark, sf):
+    schema = "unique_id string, date string, y double, Model string"
+    rows = p.published(spark, sf, LABELS).select("unique_id", "date", "y", "Model")
+    path = _stage_csv(spark, rows, "client.csv")
+    absent = files.read_or_empty(spark, f"{path}-absent", schema)
+    return files.read_or_empty(spark, path, schema).unionByName(absent)
+
+
+@query("s5_read_forecasts", 'select unique_id, date, fh, y, Model, Color, "True" from pubt')
+def s5_read_forecasts(spark, sf):
+    days = p.span(spark, sf)
+    rows = scoring.attach_truth(p.published(spark, sf, LABELS), p.truth(spark, sf, days))
+    chosen = rows.select("unique_id", "date", "fh", "y", "Model", "Color", "True")
+    return files.read_table(spark, _stage_csv(spark, chosen, "forecasts.csv"), files.FORECASTS)
+
+
+@query("s6_read_confirmed", "select * from f8 where BEVESTIGD is not null")
+def s6_read_confirmed(spark, sf):
+    confirmed = p.order_lines(spark, sf).where(F.col("BEVESTIGD").isNotNull())
+    schema = (
+        "Datum date, Rit string, Hoeveelheidstype string, Verpakkingstype string, Menugroep string, "
+        "Menusoort string, BEVESTIGD string, Postcode string, y double"
+    )
+    return files.read_table(spark, _stage_csv(spark, confirmed, "confirmed.csv"), schema)
+
+
+def _paths(spark, sf):
+    """One file name per order: all categories, impossible dates and odd suffixes."""
+    stamp = F.date_format("o_orderdate", "ddMMyyyy")
+    kind = F.col("o_orderkey") % 9
+    name = (
+        F.when(kind == 0, F.concat(F.lit("main_"), stamp, F.lit(".csv")))
+        .when(kind == 1, F.concat(stamp, F.lit(".csv")))
+        .when(kind == 2, F.concat(stamp, F.lit(".xlsx")))
+        .when(kind == 3, F.concat(F.lit("forecasts_"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(".csv")))
+        .when(kind == 4, F.concat(F.lit("evaluation_"), stamp, F.lit(".csv")))
+        .when(kind == 5, F.concat(F.lit("confirmed_"), stamp, F.lit(".csv")))
+        .when(kind == 6, F.concat(F.lit("9999"), F.date_format("o_orderdate", "yyyy"), F.lit(".csv")))
+        .when(kind == 7, F.concat(F.lit("evaluation_"), stamp, F.lit(".cs")))
+        .otherwise(F.concat(F.date_format("o_orderdate", "ddMMyy"), F.lit(".csv")))
+    )
+    return p.table(spark, sf, "orders").select(F.concat(F.lit("base/data/"), name).alias("path"))
+
+
+_PATHS_SQL = """
+    with n as (select 'base/data/' || case o_orderkey % 9
+          when 0 then 'main_' || strftime(o_orderdate, '%d%m%Y') || '.csv'
+          when 1 then strftime(o_orderdate, '%d%m%Y') || '.csv'
+          when 2 then strftime(o_orderdate, '%d%m%Y') || '.xlsx'
+          when 3 then 'forecasts_' || strftime(o_orderdate, '%Y-%m-%d') || '.csv'
+          when 4 then 'evaluation_' || strftime(o_orderdate, '%d%m%Y') || '.csv'
+          when 5 then 'confirmed_' || strftime(o_orderdate, '%d%m%Y') || '.csv'
+          when 6 then '9999' || strftime(o_orderdate, '%Y') || '.csv'
+          when 7 then 'evaluation_' || strftime(o_orderdate, '%d%m%Y') || '.cs'
+          else strftime(o_orderdate, '%d%m%y') || '.csv' end as path, o_orderkey % 9 as k,
+          cast(o_orderdate as date) as file_date from orders)"""
+
+
+@query(
+    "s7_newest_versions",
+    _PATHS_SQL
+    + """, c as (select split_part(path, '/', 3) as name, file_date, case when k = 0 then 'main'
+             when k in (1, 2, 8) then 'update' when k = 3 then 'forecast' when k = 4 then 'evaluation'
+             when k = 5 then 'confirmed' end as category from n),
+       r as (select *, row_number() over (partition by category order by file_date desc, name desc) as i
+             from c where category is not null)
+       select category, name, file_date from r where i = 1""",
+)
+def s7_newest_versions(spark, sf):
+    return files.newest_versions(_paths(spark, sf))
+
+
+@query(
+    "s8_landing_check",
+    _PATHS_SQL
+    + """ select path, split_part(path, '/', 3) as name,
+          regexp_full_match(split_part(path, '/', 3), '[0-9]{6}[.](csv|xlsx)') as accepted from n""",
+)
+def s8_landing_check(spark, sf):
+    return files.landing_check(_paths(spark, sf))
+
+
+@query("s9_append_update", "select * from f1")
+def s9_append_update(spark, sf):
+    last = p.span(spark, sf)[1]
+    rows = p.brand_sales(spark, sf)
+    cut = F.date_sub(F.lit(last), 7)
+    merged = files.append_update(rows.where(F.col("date") <= cut), rows.where(F.col("date") > cut))
+    path = staging_path(spark, "main.parquet")
+    # Partitions per month keep the number of files of a long history small.
+    months = merged.withColumn("month", F.date_format("date", "yyyy-MM"))
+    files.write_dated(months, path, "month")
+    return spark.read.parquet(path).select("unique_id", "date", "y")
+
+
+@query("s10_write_forecasts", """select unique_id, date, y, Model, Color, "True" from pubt""")
+def s10_write_forecasts(spark, sf):
+    days = p.span(spark, sf)
+    rows = scoring.attach_truth(p.published(spark, sf, LABELS), p.truth(spark, sf, days))
+    path = staging_path(spark, "model")
+    files.write_forecasts(rows, publish.forecast_documents(rows), path)
+    stored = spark.read.schema("unique_id string, records string").json(f"{path}/latest_predictions.json")
+    return publish.read_documents(stored)
+
+
+@query(
+    "s11_append_scores",
+    """select unique_id, Model, cv, cutoff as date, round(rmsse, 6) as rmsse, round(mae, 6) as mae, round(bias, 6) as bias
+       from sc where cv <= 3""",
+)
+def s11_append_scores(spark, sf):
+    scores = rounded(p.dated_scores(spark, sf))
+    path = staging_path(spark, "evaluation.parquet")
+    files.write_dated(scores.where("cv <= 2"), path)
+    # Windows 2 and 3: the second write replaces the date of window 2.
+    files.write_dated(scores.where("cv between 2 and 3"), path)
+    return spark.read.parquet(path)
+
+
+@query(
+    "s14_weekly_batches",
+    """with d as (select date, (row_number() over (order by date) - 1) // 7 as b from (select distinct date from f1)),
+       e as (select date, strftime(max(date) over (partition by b), '%d%m%Y') as week_end from d)
+       select f1.*, e.week_end from f1 join e on f1.date = e.date""",
+)
+def s14_weekly_batches(spark, sf):
+    rows = panel.week_batches(p.brand_sales(spark, sf))
+    return rows.withColumn("week_end", F.date_format("week_end", "ddMMyyyy"))
+
+
+@query("s15_snapshot_name", "select 'main_' || strftime(max(date), '%d%m%Y') || '.csv' as name from f1")
+def s15_snapshot_name(spark, sf):
+    return files.snapshot_name(p.brand_sales(spark, sf))
+
+
+@query("s16_read_rules", "select unique_id, ExtraDay from f7")
+def s16_read_rules(spark, sf):
+    return files.read_table(spark, _stage_csv(spark, p.extra_days(spark, sf), "extra.csv"), files.RULES)
+
+
+@query(
+    "s17_client_scope",
+    """with s as (select p_type as client, p_brand as unique_id, date, cast(sum(l_quantity) as double) as y
+                 from sold group by 1, 2, 3),
+       b as (select client, max(date) as last from s group by 1),
+       x as (select s.*, cast(last + fh as date) as target, fh from s join b on s.client = b.client, steps
+             where s.date = last - 7 + (fh - 1) % 7 + 1)
+       select i.client, i.unique_id, cast(last + fh as date) as date, last as cutoff, 'SeasonalNaive' as Model,
+              coalesce(x.y, 0) as y, i.fh
+       from (select s.client, unique_id, any_value(last) as last, fh from s join b on s.client = b.client, steps group by 1, 2, 4) i
+       left join x on i.client = x.client and i.unique_id = x.unique_id and i.fh = x.fh""",
+)
+def s17_client_scope(spark, sf):
+    sales = (
+        p.sold(spark, sf)
+        .groupBy(F.col("p_type").alias("client"), F.col("p_brand").alias("unique_id"), "date")
+        .agg(F.sum("l_quantity").alias("y"))
+    )
+    keys = ["client", "unique_id"]
+    rows = panel.fill_calendar(sales, keys=keys, scope=["client"])
+    # Every series of a client ends on the last day of that client.
+    ends = rows.groupBy(*keys).agg(F.max("date").alias("_end"))
+    recent = rows.join(ends, keys).where(F.col("date") > F.date_sub("_end", p.SEASON))
+    return models.window_forecasts(
+        recent, F.array("_end"), p.H, season=p.SEASON, models=(models.SEASONAL_NAIVE,), keys=keys
+    )
+
+
+PROFILE = Profile(
+    name="brands",
+    forecast=ForecastConfig(h=p.H, seasonal_length=p.SEASON),
+    model=ModelConfig(lags=14),
+)
+
+
+@query(
+    "st1_arrivals",
+    """select unique_id, date, y, date > (select max(date) from f1) - 21 as accepted
+       from f1 where date > (select max(date) from f1) - 28""",
+)
+def st1_arrivals(spark, sf):
+    from datetime import timedelta
+
+    from shelfcast.streaming import arrivals
+
+    last = p.span(spark, sf)[1]
+    sales = p.brand_sales(spark, sf)
+    folder = staging_path(spark, "landing")
+    for week in range(4):
+        end = last - timedelta(days=7 * week)
+        start = end - timedelta(days=7)
+        # The oldest week arrives under a name that is not accepted.
+        name = f"{end:%d%m%y}.csv" if week < 3 else "oldest.csv"
+        rows = sales.where((F.col("date") > F.lit(start)) & (F.col("date") <= F.lit(end)))
+        rows.write.csv(f"{folder}/{name}", header=True)
+    table, quarantine = staging_path(spark, "history"), staging_path(spark, "quarantine")
+    running = arrivals.ingest(spark, folder, table, quarantine, staging_path(spark, "progress"))
+    running.awaitTermination()
+    good = spark.read.parquet(table).withColumn("accepted", F.lit(True))
+    bad = spark.read.parquet(quarantine).withColumn("accepted", F.lit(False))
+    columns = ["unique_id", "date", "y", "accepted"]
+    return good.select(*columns).unionByName(bad.select(*columns))
+
+
+@query(
+    "st2_score_arrivals",
+    """with e as (select p.unique_id, Model, p.y, "True" from pubt p),
+       s as (select unique_id, avg(d * d) as m from
+              (select unique_id, y - lag(y) over (partition by unique_id order by date) as d
+               from filled where date <= (select max(date) from f1) - 7) group by 1)
+       select e.unique_id, Model, 1 as cv, (select max(date) from f1) as date,
+              round(case when any_value(m) = 0 then 0 else sqrt(avg((y - "True") * (y - "True")) / any_value(m)) end, 6) as rmsse,
+              round(avg(abs(y - "True")), 6) as mae, round(avg(y - "True"), 6) as bias
+       from e join s on e.unique_id = s.unique_id group by 1, 2""",
+)
+def st2_score_arrivals(spark, sf):
+    from shelfcast.streaming import arrivals
+
+    days = p.span(spark, sf)
+    truth_table, scores = staging_path(spark, "truth"), staging_path(spark, "scores")
+    p.truth(spark, sf, days).withColumn("batch", F.lit(0)).write.parquet(truth_table)
+    running = arrivals.score_arrivals(
+        spark,
+        truth_table,
+        p.published(spark, sf, LABELS),
+        p.brand_sales(spark, sf),
+        PROFILE,
+        scores,
+        staging_path(spark, "progress"),
+    )
+    running.awaitTermination()
+    return rounded(spark.read.parquet(scores))

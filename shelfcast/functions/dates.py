@@ -27,10 +27,16 @@ def parse_date(column: Column) -> Column:
 
 
 def parse_file_date(digits: Column) -> Column:
-    """ddMMyyyy or ddMMyy digits of a file name; impossible dates are null."""
-    return F.when(F.length(digits) == 8, F.try_to_date(digits, "ddMMyyyy")).when(
-        F.length(digits) == 6, F.try_to_date(digits, "ddMMyy")
+    """ddMMyyyy or ddMMyy digits of a file name; impossible dates are null.
+
+    Two-digit years from 69 on belong to the last century.
+    """
+    year = F.substring(digits, 5, 2)
+    century = F.when(year >= "69", "19").otherwise("20")
+    long = F.when(F.length(digits) == 6, F.concat(F.substring(digits, 1, 4), century, year)).otherwise(
+        digits
     )
+    return F.when(F.length(long) == 8, F.try_to_date(long, "ddMMyyyy"))
 
 
 def day_index(date: Column, freq: str = "D") -> Column:

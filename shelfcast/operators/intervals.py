@@ -144,7 +144,7 @@ def melt_intervals(
                     value = F.when(value < 0, F.lit(0.0)).otherwise(value)
                 fields.append(value.alias(f"{name}_{level}"))
         rows.append(F.struct(*fields))
-    melted = wide.select(*keys, F.inline(F.array(*rows)))
+    melted = wide.select(*keys, F.inline_outer(F.array(*rows)))
     if not invert:
         return melted
     renamed = melted.withColumnsRenamed({f"low_{level}": f"up_{100 - level}" for level in levels})

@@ -80,7 +80,7 @@ def window_forecasts(
         SEASONAL_WINDOW_AVERAGE: season * seasonal_window,
     }
     depth = max(depths[m] for m in models)
-    tagged = tag_windows(df.select(*keys, DATE, "y"), cutoffs, depth, freq)
+    tagged = tag_windows(df, cutoffs, depth, freq)
     back, y = F.col("back"), F.col("y")
 
     aggregates = [F.max_by("y", DATE).alias("_last")]
@@ -104,7 +104,7 @@ def window_forecasts(
             F.get("_average_slots", slot) if SEASONAL_WINDOW_AVERAGE in models else None
         ),
     }
-    steps = memory.withColumn("fh", F.explode(F.sequence(F.lit(1), F.lit(h))))
+    steps = memory.withColumn("fh", F.explode_outer(F.sequence(F.lit(1), F.lit(h))))
     per_model = F.array(
         *[
             F.struct(F.lit(m).alias("Model"), F.coalesce(value[m], F.col("_last")).alias("y"))
@@ -115,7 +115,7 @@ def window_forecasts(
         *keys,
         dates.shift_date(F.col("cutoff"), F.col("fh"), freq).alias(DATE),
         "cutoff",
-        F.inline(per_model),
+        F.inline_outer(per_model),
         "fh",
     )
 

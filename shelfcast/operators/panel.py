@@ -47,7 +47,7 @@ def distinct_dates(df: DataFrame, date_col: str = DATE) -> DataFrame:
 
 def calendar_index(df: DataFrame, date_col: str = DATE) -> DataFrame:
     """Distinct dates with their 0-based position."""
-    return distinct_dates(df, date_col).select(F.posexplode("dates").alias("position", date_col))
+    return distinct_dates(df, date_col).select(F.posexplode_outer("dates").alias("position", date_col))
 
 
 def _expand(
@@ -90,6 +90,7 @@ def fill_calendar(
     business_days: bool = False,
     unit: str = "D",
     span: tuple | None = None,
+    scope: Sequence[str] = (),
     keys: Sequence[str] = (ID,),
     date_col: str = DATE,
     value_col: str = "y",
@@ -100,16 +101,22 @@ def fill_calendar(
     values all stay. Covariates keep their values on observed dates and are
     null on added ones. With `business_days` weekends are left out, together
     with rows observed there. `span` gives known (first, last) dates and saves
-    the pass that looks for them.
+    the pass that looks for them. Columns in `scope` (such as a client) get a
+    calendar each.
     """
     rows = df.select(*keys, date_col, value_col, *covars).distinct()
-    if span is None:
+    if scope:
+        bounds = df.groupBy(*scope).agg(F.min(date_col).alias("_a"), F.max(date_col).alias("_b"))
+        rows = rows.join(bounds, list(scope))
+        first, final = F.col("_a"), F.col("_b")
+    elif span is None:
         # Read from the raw rows: the pruned scan needs the date column only.
         bounds = calendar_span(df, date_col)
         first, final = bounds.select("first_date").scalar(), bounds.select("last_date").scalar()
     else:
         first, final = (F.lit(day).cast("date") for day in span)
     panel = _expand(rows, first, final, unit, keys, date_col, fill_value, value_col)
+    panel = panel.drop("_a", "_b")
     return panel.where(F.weekday(date_col) < 5) if business_days else panel
 
 

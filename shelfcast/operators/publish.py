@@ -229,9 +229,8 @@ def forecast_documents(df: DataFrame) -> DataFrame:
 def read_documents(df: DataFrame) -> DataFrame:
     """Rows back from the nested documents."""
     schema = "array<struct<date:string,y:double,Model:string,Color:string,`True`:double>>"
-    return df.select(ID, F.inline(F.from_json("records", schema))).withColumn(
-        DATE, F.col(DATE).cast("date")
-    )
+    rows = df.select(ID, F.inline_outer(F.from_json("records", schema)))
+    return rows.where(F.col(DATE).isNotNull()).withColumn(DATE, F.col(DATE).cast("date"))
 
 
 def order_export(df: DataFrame, dates: Sequence[str], models: Sequence[str]) -> DataFrame:

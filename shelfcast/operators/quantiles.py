@@ -52,7 +52,7 @@ def exact_quantiles(
             "_bin",
             (F.col("_upto") - F.col("_size")).alias("_before"),
             "_upto",
-            F.inline(wanted).alias("_i", "_at"),
+            F.inline_outer(wanted).alias("_i", "_at"),
         )
         .where((F.ceil("_at") >= F.col("_before")) & (F.floor("_at") < F.col("_upto")))
         .groupBy(*keys, "_bin", "_before")

@@ -28,7 +28,7 @@ def series_arrays(df: DataFrame, cutoffs: Column) -> DataFrame:
     gathered = df.groupBy(ID).agg(
         F.array_sort(F.collect_list(F.struct(DATE, "y"))).alias("_history")
     )
-    cut = gathered.withColumn("cutoff", F.explode(cutoffs))
+    cut = gathered.withColumn("cutoff", F.explode_outer(cutoffs))
     upto = F.filter("_history", lambda x: x[DATE] <= F.col("cutoff"))
     return cut.select(ID, "cutoff", F.transform(upto, lambda x: x["y"]).alias("ys")).where(
         F.size("ys") > 0
@@ -88,7 +88,7 @@ def demand_and_intervals(df: DataFrame) -> DataFrame:
 
 
 def _flat(df: DataFrame, h: int, model: str, y: Column, freq: str) -> DataFrame:
-    steps = df.withColumn("y", y).withColumn("fh", F.explode(F.sequence(F.lit(1), F.lit(h))))
+    steps = df.withColumn("y", y).withColumn("fh", F.explode_outer(F.sequence(F.lit(1), F.lit(h))))
     return steps.select(
         ID,
         dates.shift_date(F.col("cutoff"), F.col("fh"), freq).alias(DATE),
@@ -160,7 +160,7 @@ def theta(
     level = fitted.withColumn("_curved", curved).withColumn(
         "_level", ses_level(F.col("_curved"), F.lit(alpha))
     )
-    steps = level.withColumn("fh", F.explode(F.sequence(F.lit(1), F.lit(h))))
+    steps = level.withColumn("fh", F.explode_outer(F.sequence(F.lit(1), F.lit(h))))
     ahead = F.col("_n") - 1 + F.col("fh")
     return steps.select(
         ID,
@@ -232,7 +232,7 @@ def exponential_smoothing(
     )
     tried = (
         series_arrays(df, cutoffs)
-        .withColumn("_p", F.explode(grid))
+        .withColumn("_p", F.explode_outer(grid))
         .where(~F.col("_p.seasonal") | (F.size("ys") >= 2 * season))
         .withColumn("_fit", _holt_winters_fit(season))
     )
@@ -244,7 +244,7 @@ def exponential_smoothing(
         .groupBy(ID, "cutoff")
         .agg(F.min_by(F.col("_fit"), F.struct("_aic", "_p")).alias("_fit"))
     )
-    steps = best.withColumn("fh", F.explode(F.sequence(F.lit(1), F.lit(h))))
+    steps = best.withColumn("fh", F.explode_outer(F.sequence(F.lit(1), F.lit(h))))
     ahead = (
         F.col("_fit.level")
         + F.col("fh") * F.col("_fit.trend")
@@ -283,6 +283,7 @@ def ses_residuals(df: DataFrame, alpha: float) -> DataFrame:
         )
 
     fold = F.aggregate(tail(F.col("_history")), start, step)
-    return gathered.select(ID, F.inline(fold["trace"])).withColumns(
+    rows = gathered.select(ID, F.inline_outer(fold["trace"])).where(F.col(DATE).isNotNull())
+    return rows.withColumns(
         {"Model": F.lit("SES"), "residual": F.col("y_true") - F.col("y_pred"), "fh": F.lit(1)}
     )

@@ -9,6 +9,7 @@ from shelfcast.config import Profile
 from shelfcast.operators import features, globalmodel, models, panel, publish, scoring
 from shelfcast.operators.backtest import benchmark_forecasts
 from shelfcast.operators.panel import DATE, ID
+from shelfcast.session import durable
 
 
 def _overlap(left: DataFrame, right: DataFrame):
@@ -82,7 +83,8 @@ def publish_week(
     raw: DataFrame, profile: Profile, update: DataFrame | None = None
 ) -> DataFrame:
     """The published forecast table, with truth where the new sales cover its dates."""
-    forecasts = forecast_week(preprocess(raw, profile), profile)
+    prepared = durable(preprocess(raw, profile))  # read by every fit and forecast
+    forecasts = forecast_week(prepared, profile)
     published = publish.postprocess(
         forecasts, profile.labels, globalmodel.NAME, ensemble=profile.model.ensemble
     )
