@@ -188,7 +188,7 @@ def s16_read_rules(spark, sf):
        b as (select client, max(date) as last from s group by 1),
        x as (select s.*, cast(last + fh as date) as target, fh from s join b on s.client = b.client, steps
              where s.date = last - 7 + (fh - 1) % 7 + 1)
-       select i.client, i.unique_id, cast(last + fh as date) as date, last as cutoff, 'SeasonalNaive' as Model,
+       select i.client, i.unique_id, cast(i.last + i.fh as date) as date, i.last as cutoff, 'SeasonalNaive' as Model,
               coalesce(x.y, 0) as y, i.fh
        from (select s.client, unique_id, any_value(last) as last, fh from s join b on s.client = b.client, steps group by 1, 2, 4) i
        left join x on i.client = x.client and i.unique_id = x.unique_id and i.fh = x.fh""",
