@@ -17,7 +17,8 @@ def _ahead(spark, sf, chosen, **options):
     """Forecast beyond the data of the brand panel."""
     days = p.span(spark, sf)
     last = F.array(F.lit(days[1]))
-    found = models.window_forecasts(p.filled(spark, sf, days), last, p.H, models=chosen, **options)
+    recent = p.filled(spark, sf, days, p.MEMORY)
+    found = models.window_forecasts(recent, last, p.H, models=chosen, **options)
     return rounded(models.as_plain_forecast(found))
 
 

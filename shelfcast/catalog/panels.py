@@ -7,7 +7,7 @@ mentions in front of it, in the order they are defined.
 from __future__ import annotations
 
 import re
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -172,9 +172,15 @@ def span(spark: SparkSession, sf: str) -> tuple[date, date]:
     return panel.date_span(table(spark, sf, "lineitem").select(day("l_shipdate").alias("date")))
 
 
-def filled(spark: SparkSession, sf: str, days=None) -> DataFrame:
-    """F1 on the whole calendar."""
-    return panel.fill_calendar(brand_sales(spark, sf), span=days or span(spark, sf))
+def filled(spark: SparkSession, sf: str, days=None, back: int | None = None) -> DataFrame:
+    """F1 on the whole calendar, or on its last `back` days."""
+    days = days or span(spark, sf)
+    since = None if back is None else days[1] - timedelta(days=back - 1)
+    return panel.fill_calendar(brand_sales(spark, sf), span=days, since=since)
+
+
+# Days a forecast of the fixed-memory models looks at, from the oldest cutoff.
+MEMORY = TRIM + SEASON * SEASONAL_WINDOW
 
 
 def cutoffs(days):
@@ -189,7 +195,12 @@ def backtest(spark: SparkSession, sf: str, chosen=FORECAST_MODELS, days=None) ->
     days = days or span(spark, sf)
     cuts = cutoffs(days)
     found = models.window_forecasts(
-        filled(spark, sf, days), cuts, H, season=SEASON, models=chosen, seasonal_window=SEASONAL_WINDOW
+        filled(spark, sf, days, MEMORY),
+        cuts,
+        H,
+        season=SEASON,
+        models=chosen,
+        seasonal_window=SEASONAL_WINDOW,
     )
     return models.with_window_code(found, cuts)
 
@@ -226,7 +237,7 @@ def forecast(spark: SparkSession, sf: str, holdback: int = H, days=None) -> Data
     days = days or span(spark, sf)
     last = F.array(F.date_sub(F.lit(days[1]), holdback))
     found = models.window_forecasts(
-        filled(spark, sf, days),
+        filled(spark, sf, days, MEMORY),
         last,
         H,
         season=SEASON,
@@ -239,7 +250,7 @@ def forecast(spark: SparkSession, sf: str, holdback: int = H, days=None) -> Data
 def recent_truth(spark: SparkSession, sf: str, back: int, days=None) -> DataFrame:
     """filled sales of the last `back` days."""
     days = days or span(spark, sf)
-    return filled(spark, sf, days).where(F.col("date") > F.date_sub(F.lit(days[1]), back))
+    return filled(spark, sf, days, back)
 
 
 def truth(spark: SparkSession, sf: str, days=None) -> DataFrame:

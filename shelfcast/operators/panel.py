@@ -9,7 +9,7 @@ after it that is keyed by the series reuses that exchange.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,6 +40,14 @@ def last_date(df: DataFrame, date_col: str = DATE) -> Column:
     return df.agg(F.max(date_col)).scalar()
 
 
+def panel_bounds(df: DataFrame, span: tuple | None, date_col: str = DATE) -> tuple[Column, Column]:
+    """First and last date as columns: literals when known, else subqueries."""
+    if span is not None:
+        return F.lit(span[0]).cast("date"), F.lit(span[1]).cast("date")
+    bounds = calendar_span(df, date_col)
+    return bounds.select("first_date").scalar(), bounds.select("last_date").scalar()
+
+
 def distinct_dates(df: DataFrame, date_col: str = DATE) -> DataFrame:
     """One row holding the sorted distinct dates; its size is that of the calendar."""
     return df.select(date_col).distinct().agg(F.sort_array(F.collect_list(date_col)).alias("dates"))
@@ -82,6 +90,14 @@ def _expand(
     )
 
 
+def _tail(df: DataFrame, since: date, values: Sequence[str], date_col: str) -> DataFrame:
+    """Rows before `since` moved to the day before it, without their values."""
+    recent = F.col(date_col) >= F.lit(since)
+    edge = F.lit(since - timedelta(days=1))
+    emptied = {c: F.when(recent, F.col(c)) for c in values}
+    return df.withColumns(emptied | {date_col: F.when(recent, F.col(date_col)).otherwise(edge)})
+
+
 def fill_calendar(
     df: DataFrame,
     *,
@@ -90,6 +106,7 @@ def fill_calendar(
     business_days: bool = False,
     unit: str = "D",
     span: tuple | None = None,
+    since: date | None = None,
     scope: Sequence[str] = (),
     keys: Sequence[str] = (ID,),
     date_col: str = DATE,
@@ -101,22 +118,28 @@ def fill_calendar(
     values all stay. Covariates keep their values on observed dates and are
     null on added ones. With `business_days` weekends are left out, together
     with rows observed there. `span` gives known (first, last) dates and saves
-    the pass that looks for them. Columns in `scope` (such as a client) get a
+    the pass that looks for them. `since` builds the newest days only: older rows
+    shrink to one per series before the exchange. Columns in `scope` (such as a client) get a
     calendar each.
     """
+    if since is not None:
+        if span is None:
+            raise ValueError("since needs a known span")
+        if since > span[0]:
+            df = _tail(df, since, [value_col, *covars], date_col)
+            span = (since - timedelta(days=1), span[1])
     rows = df.select(*keys, date_col, value_col, *covars).distinct()
     if scope:
         bounds = df.groupBy(*scope).agg(F.min(date_col).alias("_a"), F.max(date_col).alias("_b"))
         rows = rows.join(bounds, list(scope))
         first, final = F.col("_a"), F.col("_b")
-    elif span is None:
-        # Read from the raw rows: the pruned scan needs the date column only.
-        bounds = calendar_span(df, date_col)
-        first, final = bounds.select("first_date").scalar(), bounds.select("last_date").scalar()
     else:
-        first, final = (F.lit(day).cast("date") for day in span)
+        # Unknown bounds are read from the raw rows: a scan of the date column only.
+        first, final = panel_bounds(df, span, date_col)
     panel = _expand(rows, first, final, unit, keys, date_col, fill_value, value_col)
     panel = panel.drop("_a", "_b")
+    if since is not None:
+        panel = panel.where(F.col(date_col) >= F.lit(since))
     return panel.where(F.weekday(date_col) < 5) if business_days else panel
 
 
@@ -263,10 +286,20 @@ def melt_day_columns(wide: DataFrame, calendar: DataFrame, keys: Sequence[str])
     )
 
 
-def drop_first_dates(df: DataFrame, threshold: int = 180) -> DataFrame:
-    """Rows after the first `threshold` distinct dates of the table."""
-    keep_from = distinct_dates(df).select(F.get("dates", F.lit(threshold))).scalar()
-    return df.where(F.col(DATE) >= keep_from)
+def drop_first_dates(
+    df: DataFrame, threshold: int = 180, span: tuple | None = None, business_days: bool = False
+) -> DataFrame:
+    """Rows after the first `threshold` distinct dates of the table.
+
+    On a filled panel with a known `span` the date follows from the calendar
+    and reaches the scan as a literal.
+    """
+    if span is None:
+        keep_from = distinct_dates(df).select(F.get("dates", F.lit(threshold))).scalar()
+        return df.where(F.col(DATE) >= keep_from)
+    days = (span[0] + timedelta(days=i) for i in range((span[1] - span[0]).days + 1))
+    kept = [d for d in days if not business_days or d.weekday() < 5][threshold:]
+    return df.where(F.col(DATE) >= F.lit(kept[0])) if kept else df.limit(0)
 
 
 def split_last_dates(df: DataFrame, days: int = 56) -> tuple[DataFrame, DataFrame]:

@@ -23,10 +23,9 @@ def exact_quantiles(
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
         .agg(F.count("*").alias("_n"))
     )
-    cuts = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(
-        F.percentile_approx(
-            F.col(value).cast("double"), [i / bins for i in range(1, bins)], 20 * bins
-        ).alias("_cuts")
+    # Cuts over the distinct values, so that bins are even in what a task ranks.
+    cuts = counts.groupBy(*keys).agg(
+        F.percentile_approx("_v", [i / bins for i in range(1, bins)], 20 * bins).alias("_cuts")
     )
     binned = counts.join(cuts, keys).withColumn(
         "_bin", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))

@@ -94,7 +94,7 @@ def seasonal_boxes(df: DataFrame) -> DataFrame:
         F.weekday(DATE).alias("dayofweek"), dates.season_of(F.col(DATE)).alias("season"), "y"
     )
     keys = ["dayofweek", "season"]
-    quartiles = exact_quantiles(rows, keys, "y", [0.25, 0.5, 0.75]).select(
+    quartiles = exact_quantiles(rows, keys, "y", [0.25, 0.5, 0.75], bins=256).select(
         *keys,
         *[F.get("quantiles", F.lit(i)).alias(n) for i, n in enumerate(("q1", "median", "q3"))],
     )

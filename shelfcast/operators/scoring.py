@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.metrics import relative_error, resolve, squared_error
-from shelfcast.operators.panel import DATE, ID, fill_calendar, last_date
+from shelfcast.operators.panel import DATE, ID, panel_bounds
 
 DEFAULT_METRICS = ("rmsse", "mae", "bias")
 SCORE_KEYS = (ID, "Model", "cv")
@@ -46,17 +46,18 @@ def join_truth(forecasts: DataFrame, truth: DataFrame) -> DataFrame:
 
 
 def backtest_truth(forecasts: DataFrame, validation: DataFrame, check: bool = True) -> DataFrame:
-    """Validation rows with their forecasts; an error when a row found none."""
+    """Validation rows with their forecasts; an error when a row found none.
+
+    The test is part of the join: a row without a forecast raises when it is
+    read, so no second pass over the forecasts is needed.
+    """
     actual = validation.select(ID, DATE, F.col("y").alias("True"))
-    joined = actual.join(forecasts.drop("True"), [ID, DATE])
+    plain = forecasts.drop("True")
     if not check:
-        return joined
-    # The test rides along as a column that raises, so it costs no extra job.
-    lost = actual.join(forecasts.select(ID, DATE), [ID, DATE], "left_anti").agg(F.count("*")).scalar()
-    verified = F.when(
-        lost > 0, F.raise_error(F.lit("backtest rows were lost: the panel has gaps")).cast("double")
-    ).otherwise(F.col("True"))
-    return joined.withColumn("True", verified)
+        return actual.join(plain, [ID, DATE])
+    lost = F.raise_error(F.lit("backtest rows were lost: the panel has gaps")).cast("double")
+    joined = actual.join(plain, [ID, DATE], "left")
+    return joined.withColumn("True", F.when(F.col("Model").isNull(), lost).otherwise(F.col("True")))
 
 
 def rows_to_score(df: DataFrame, primary: str) -> DataFrame:
@@ -72,27 +73,41 @@ def in_sample_scale(
 ) -> DataFrame:
     """Naive one-step squared and absolute error per series.
 
-    Taken on the daily zero-filled panel without its last `trim` dates, where
-    trim is the number of windows plus the horizon minus one. Series without
-    any value are left out.
+    Meant for the daily zero-filled panel without its last `trim` dates, where
+    trim is the number of windows plus the horizon minus one. The zeros are not
+    materialised: next to a gap the value itself is the step, and inside a gap
+    the step is 0. Series without any value are left out. With `fill` off the
+    rows are taken as they are.
     """
     known = history.where(F.col("y").isNotNull()).select(ID, DATE, "y")
-    daily = fill_calendar(known, span=span) if fill else known
     trim = F.lit(trim) if isinstance(trim, int) else trim
-    last = last_date(known) if span is None else F.lit(span[1])
-    train = daily.where(F.col(DATE) <= F.date_sub(last, trim.cast("int")))
-    change = F.col("y") - F.lag("y", 1).over(Window.partitionBy(ID).orderBy(DATE))
-    return (
-        train.withColumn("_change", change)
-        .groupBy(ID)
-        .agg(
+    first, last = panel_bounds(known, span)
+    end = F.date_sub(last, trim.cast("int"))
+    order = Window.partitionBy(ID).orderBy(DATE)
+    here, y = F.col(DATE), F.col("y")
+    before, value_before = F.lag(DATE).over(order), F.lag("y").over(order)
+    if not fill:
+        rows = known.where(here <= end).withColumn("_change", y - value_before)
+        return rows.groupBy(ID).agg(
             F.avg(F.col("_change") * F.col("_change")).alias("naive_mse"),
             F.avg(F.abs("_change")).alias("naive_mae"),
         )
+    after = F.lead(DATE).over(order)
+    joined = before == F.date_sub(here, 1)
+    step_in = (
+        F.when(here > end, F.lit(0.0)).when(joined, y - value_before).when(here > first, y).otherwise(0.0)
+    )
+    gap_follows = after.isNull() | (after > F.date_add(here, 1))
+    step_out = F.when((here < end) & gap_follows, y).otherwise(F.lit(0.0))
+    rows = known.withColumns({"_in": step_in, "_out": step_out})
+    steps = F.nullif(F.datediff(end, first), F.lit(0))
+    return rows.groupBy(ID).agg(
+        (F.sum(F.col("_in") * F.col("_in") + F.col("_out") * F.col("_out")) / steps).alias("naive_mse"),
+        (F.sum(F.abs("_in") + F.abs("_out")) / steps).alias("naive_mae"),
     )
 
 
-def test_span(forecasts: DataFrame) -> Column:
+def evaluated_span(forecasts: DataFrame) -> Column:
     """Windows plus horizon minus one, read from the forecast table."""
     return forecasts.agg(F.count_distinct("cv") + F.count_distinct("fh") - 1).scalar()
 

@@ -50,7 +50,9 @@ def preprocess(raw: DataFrame, profile: Profile, filter_dates: bool = True) -> D
     if covars:
         rows = panel.fill_most_frequent(rows, **groups)
         rows = features.categorise(rows, features.categorical_columns(rows))
-    return panel.drop_first_dates(rows, settings.warm_up) if filter_dates else rows
+    if not filter_dates:
+        return rows
+    return panel.drop_first_dates(rows, settings.warm_up, span, settings.remove_weekends)
 
 
 def forecast_week(prepared: DataFrame, profile: Profile, seasonal_window: int = 4) -> DataFrame:
@@ -84,7 +86,7 @@ def publish_week(
 ) -> DataFrame:
     """The published forecast table, with truth where the new sales cover its dates."""
     prepared = durable(preprocess(raw, profile))  # read by every fit and forecast
-    forecasts = forecast_week(prepared, profile)
+    forecasts = durable(forecast_week(prepared, profile))  # small; used four times below
     published = publish.postprocess(
         forecasts, profile.labels, globalmodel.NAME, ensemble=profile.model.ensemble
     )
