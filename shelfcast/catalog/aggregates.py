@@ -30,6 +30,17 @@ def a7_in_sample_scale(spark, sf):
     return rounded(p.scale(spark, sf))
 
 
+@query(
+    "k7_scale_at_lag",
+    """select unique_id, round(avg(d * d), 6) as naive_mse, round(avg(abs(d)), 6) as naive_mae
+       from (select unique_id, y - lag(y, 7) over (partition by unique_id order by date) as d
+             from filled where date <= (select max(date) from f1) - 11) group by 1""",
+)
+def k7_scale_at_lag(spark, sf):
+    days = p.span(spark, sf)
+    return rounded(scoring.in_sample_scale(p.brand_sales(spark, sf), p.TRIM, span=days, lag=7))
+
+
 ALL_METRICS = ("bias", "mse", "rmse", "mae", "mape", "smape", "wmape", "scaled_error", "mase", "rmsse")
 
 

@@ -82,9 +82,9 @@ def w5_scale(spark, sf):
 
 @query("w5_scale_inverse", "select unique_id, date, round(y, 6) as y from filled")
 def w5_scale_inverse(spark, sf):
-    rows = p.filled(spark, sf)
-    stats = features.scale_stats(rows)
-    return rounded(features.unscale(features.scale(rows, stats), stats))
+    rows, transform = p.filled(spark, sf), features.StandardScale()
+    stats = transform.stats(rows)
+    return rounded(transform.inverse(transform.forward(rows, stats), stats))
 
 
 @query(

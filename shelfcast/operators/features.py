@@ -7,6 +7,8 @@ exchange and one sort serve all of them. A series is as long as the calendar.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -96,6 +98,32 @@ def unscale(df: DataFrame, stats: DataFrame, keys: Sequence[str] = (ID,)) -> Dat
     )
 
 
+class TargetTransform(Protocol):
+    """What a target transform offers: its statistics, the way there and back."""
+
+    def stats(self, df: DataFrame) -> DataFrame: ...
+
+    def forward(self, df: DataFrame, stats: DataFrame) -> DataFrame: ...
+
+    def inverse(self, df: DataFrame, stats: DataFrame) -> DataFrame: ...
+
+
+@dataclass(frozen=True)
+class StandardScale:
+    """Standardise y per key; the statistics stay a small table for the way back."""
+
+    keys: tuple[str, ...] = (ID,)
+
+    def stats(self, df: DataFrame) -> DataFrame:
+        return scale_stats(df, self.keys)
+
+    def forward(self, df: DataFrame, stats: DataFrame) -> DataFrame:
+        return scale(df, stats, self.keys)
+
+    def inverse(self, df: DataFrame, stats: DataFrame) -> DataFrame:
+        return unscale(df, stats, self.keys)
+
+
 def scale_in_place(df: DataFrame) -> DataFrame:
     """Standardised y next to its statistics, without a join."""
     window = Window.partitionBy(ID)

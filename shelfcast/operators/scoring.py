@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.metrics import relative_error, resolve, squared_error
-from shelfcast.operators.panel import DATE, ID, panel_bounds
+from shelfcast.operators.panel import DATE, ID, fill_calendar, panel_bounds
 
 DEFAULT_METRICS = ("rmsse", "mae", "bias")
 SCORE_KEYS = (ID, "Model", "cv")
@@ -69,7 +69,11 @@ def rows_to_score(df: DataFrame, primary: str) -> DataFrame:
 
 
 def in_sample_scale(
-    history: DataFrame, trim: int | Column, fill: bool = True, span: tuple | None = None
+    history: DataFrame,
+    trim: int | Column,
+    fill: bool = True,
+    span: tuple | None = None,
+    lag: int = 1,
 ) -> DataFrame:
     """Naive one-step squared and absolute error per series.
 
@@ -77,7 +81,7 @@ def in_sample_scale(
     trim is the number of windows plus the horizon minus one. The zeros are not
     materialised: next to a gap the value itself is the step, and inside a gap
     the step is 0. Series without any value are left out. With `fill` off the
-    rows are taken as they are.
+    rows are taken as they are, and a `lag` above 1 compares with an older value.
     """
     known = history.where(F.col("y").isNotNull()).select(ID, DATE, "y")
     trim = F.lit(trim) if isinstance(trim, int) else trim
@@ -86,8 +90,10 @@ def in_sample_scale(
     order = Window.partitionBy(ID).orderBy(DATE)
     here, y = F.col(DATE), F.col("y")
     before, value_before = F.lag(DATE).over(order), F.lag("y").over(order)
-    if not fill:
-        rows = known.where(here <= end).withColumn("_change", y - value_before)
+    if not fill or lag > 1:
+        daily = fill_calendar(known, span=span) if fill else known
+        change = y - F.lag("y", lag).over(order)
+        rows = daily.where(here <= end).withColumn("_change", change)
         return rows.groupBy(ID).agg(
             F.avg(F.col("_change") * F.col("_change")).alias("naive_mse"),
             F.avg(F.abs("_change")).alias("naive_mae"),
