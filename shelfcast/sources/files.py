@@ -169,11 +169,3 @@ def write_batches(df: DataFrame, path: str) -> None:
 
     batches = week_batches(df).withColumn("week_end", F.date_format("week_end", "ddMMyyyy"))
     batches.write.mode("overwrite").partitionBy("week_end").csv(path, header=True)
-
-
-def with_client(df: DataFrame, client: str) -> DataFrame:
-    return df.withColumn("client", F.lit(client))
-
-
-def select_columns(df: DataFrame, covars=()) -> DataFrame:
-    return df.select(ID, DATE, "y", *covars)
