@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions import dates
 from shelfcast.functions.rules import nan_to_null
-from shelfcast.operators.panel import DATE, ID
+from shelfcast.operators.panel import DATE
 
 HISTORY = "unique_id string, date string, y double"
 COVARIATES = "sell_price double, event_type_1 string, event_type_2 string, snap int"
