@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.llm import quality
+from shelfcast.llm import jaccard, quality
 from shelfcast.session import staging_path
 
 
@@ -18,8 +18,14 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.keep_good(docs)
 
 
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that near-duplicate links join, the one with the smallest id stays."""
+    return jaccard.keep_first(docs)
+
+
 STAGES = [
     ("quality rules", keep_quality),
+    ("n-gram jaccard join", keep_one_of_each_group),
 ]
 
 ORACLE_SQL: str | None = None

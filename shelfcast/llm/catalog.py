@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import quality, sql
+from shelfcast.llm import jaccard, quality, sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,10 +27,16 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
 }
 
 ORACLES: dict[str, str] = {
     "op2_quality_rules": f"with {sql.quality('documents')} select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept from judged",
+    "op3_ngram_jaccard_join": f"with recursive {sql.near_duplicates('documents')} select * from grouped",
 }

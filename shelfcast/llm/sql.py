@@ -68,3 +68,29 @@ whole as (
     not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and {rules} as kept
   from measured
 )"""
+
+
+def near_duplicates(source: str) -> str:
+    """Common table expressions that end in `grouped` (doc_id, n_shingles, component_id)."""
+    return f"""
+worded as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as ws
+  from {source}
+), shingles as (
+  select distinct doc_id, array_to_string(ws[i:i + 4], ' ') as s
+  from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) as i from worded where len(ws) > 0)
+), sized as (
+  select d.doc_id, count(s.s) as n from (select distinct doc_id from {source}) d left join shingles s using (doc_id) group by d.doc_id
+), shared as (
+  select a.doc_id as x, b.doc_id as y, count(*) as i from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by all
+), linked as (
+  select x, y from shared join sized p on p.doc_id = x join sized q on q.doc_id = y where 100 * i >= 80 * (p.n + q.n - i)
+), reached as (
+  select x as doc_id, x as other from linked
+  union
+  select r.doc_id, l.y from reached r join linked l on l.x = r.other
+), grouped as (
+  select z.doc_id, cast(z.n as bigint) as n_shingles, coalesce(min(r.other), z.doc_id) as component_id
+  from sized z left join reached r using (doc_id) group by z.doc_id, z.n
+)"""
