@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import jaccard, quality, sql
+from shelfcast.llm import bpe, decontaminate, html_extract, jaccard, langid, quality, secret_scan, sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,9 +32,62 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.leaks(docs.select("doc_id", "text"), items.select("item_id", "text")).filter("leaked")
+
+
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_extract.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    text = F.col("main_text")
+    return pages.select("page_id", "url", text.alias("text"), F.length(text).cast("bigint").alias("n_chars"))
+
+
+def op6_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, pattern)
+    decoded = bpe.decode(encoded.select("doc_id", "ids"), ranks, pattern)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = (langid.remainder(F.col("doc_id"), 4) == 2).alias("held_out")
+    names, prototypes = langid.learn(docs.filter(langid.remainder(F.col("doc_id"), 4) != 2).filter("lang is not null"))
+    named = langid.predict(docs.select("doc_id", "text", held), names, prototypes)
+    return named.select(
+        "doc_id", "held_out", F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score")
+    )
+
+
+def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    spans = F.col("spans")
+
+    def count(kind: str):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(k) for k in secret_scan.BASE],
+        F.sha2(secret_scan.listing(spans, secret_scan.BASE).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.listing(spans).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_quality_rules": op2_quality_rules,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_html_extraction": op4_html_extraction,
+    "op6_byte_level_bpe": op6_byte_level_bpe,
+    "op7_language_id": op7_language_id,
+    "op8_secret_scans": op8_secret_scans,
 }
 
 ORACLES: dict[str, str] = {

@@ -29,3 +29,27 @@ def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
     """df.mapInArrow, with the package at hand."""
     ship(df.sparkSession)
     return df.mapInArrow(function, schema)
+
+
+def append_column(df: DataFrame, source: str, out: str, kind: str, compute, rows: int = 2000) -> DataFrame:
+    """`df` with the column `out` of SQL type `kind`: compute(Arrow array of `source`) for slices of the batches.
+
+    A column already named `out` is replaced; all others pass unchanged.
+    """
+    import pyarrow as pa
+    from pyspark.sql.types import _parse_datatype_string
+
+    names = [c for c in df.columns if c != out]
+    df = df.select(*[f"`{c}`" for c in names], *([f"`{out}`"] if source == out else []))
+    at = df.columns.index(source)
+
+    def extend(batches):
+        for batch in batches:
+            for begin in range(0, batch.num_rows, rows):
+                part = batch.slice(begin, rows)
+                columns = [c for c, name in zip(part.columns, part.schema.names, strict=True) if name != out]
+                yield pa.RecordBatch.from_arrays([*columns, compute(part.column(at))], [*names, out])
+
+    schema = df.drop(out).schema.add(out, _parse_datatype_string(kind))
+    ship(df.sparkSession)
+    return df.mapInArrow(extend, schema)
