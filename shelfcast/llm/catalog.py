@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bpe, decontaminate, html_extract, jaccard, langid, quality, secret_scan, sql
+from shelfcast.llm import bpe, decontaminate, html_extract, jaccard, kneser_ney, langid, license_scan, lm, quality, secret_scan, sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,14 +80,47 @@ def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = lm.train(docs.filter(langid.remainder(F.col("doc_id"), 5) != 1))
+    return lm.score(docs, model).select(
+        "doc_id",
+        (langid.remainder(F.col("doc_id"), 5) == 1).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("bigint").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return kneser_ney.classify(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+
+
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    hits = F.col("notices")
+    return found.select(
+        "doc_id",
+        F.size(hits).cast("bigint").alias("n_notices"),
+        F.array_join(F.array_sort(F.array_distinct(hits["license"])), ",").alias("licenses"),
+        F.array_join(F.transform(hits, lambda x: F.concat_ws(":", x["license"], x["start"], x["end"])), ",").alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_quality_rules": op2_quality_rules,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_html_extraction": op4_html_extraction,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_byte_level_bpe": op6_byte_level_bpe,
     "op7_language_id": op7_language_id,
     "op8_secret_scans": op8_secret_scans,
+    "op9_quality_classifier": op9_quality_classifier,
+    "op10_license_scans": op10_license_scans,
 }
 
 ORACLES: dict[str, str] = {
