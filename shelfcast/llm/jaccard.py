@@ -14,7 +14,9 @@ A block of zeros says little. A set with more than d blocks that are not zero
 agrees with each partner in one of those, so only sets with d or fewer such
 blocks emit their zero blocks too. No agreement is lost by this.
 
-Members of one key are linked to the key's smallest member (its leader), not to
+A partner shares at least as many keys as a set has blocks that are not zero
+beyond d; a set that shares fewer with all others together leaves. Members of
+one key are put under the key's smallest member (its leader), not paired with
 each other. Sets are then dealt into chunks of bounded size by their smallest
 leader, every two chunks that meet under a leader are compared as blocks with
 exact intersections, and a spanning forest of the links found goes on to the
@@ -55,6 +57,10 @@ BROADCAST_IDS = 2_000_000
 #: Classes a task remembers to emit equal sets once; forgetting costs repeated rows only.
 REMEMBERED = 500_000
 
+#: The low bits of a tag hold how many keys a set shares with each partner at least; the rest, the band.
+NEED_BITS = 20
+NEED = (1 << NEED_BITS) - 1
+
 _U = np.uint64
 #: Cells of a block: the low 32 bits of a shingle's hash.
 _CELLS = _U(0xFFFFFFFF)
@@ -71,11 +77,11 @@ class Band:
     def __init__(self, low: int, high: int):
         self.low, self.high, self.top = low, high, high * 100 // PERCENT
         self.apart = most_apart(high, self.top)
-        self.blocks = self.apart + 2 + math.ceil(0.12 * self.apart)
+        self.blocks = self.apart + 2 + math.ceil(0.25 * self.apart)
         self.seed = mix(np.array([low], _U))[0]
 
-    def keys(self, members: np.ndarray) -> np.ndarray:
-        """The keys of a set, given by its shingles' hashes."""
+    def keys(self, members: np.ndarray) -> tuple[np.ndarray, int]:
+        """The keys of a set, given by its shingles' hashes, and a tag of the band and of the keys each partner shares at least."""
         spread = mix(members ^ self.seed)
         block = ((spread >> _U(32)) * _U(self.blocks)) >> _U(32)
         order = np.argsort(block)
@@ -84,9 +90,10 @@ class Band:
         sketch = np.zeros(self.blocks, _U)
         sketch[block[used]] = np.bitwise_xor.reduceat(mix(spread[order] & _CELLS), used)
         shown = np.flatnonzero(sketch)
+        least = max(1, len(shown) - self.apart)
         if len(shown) <= self.apart:
             shown = np.arange(self.blocks)
-        return mix(sketch[shown] ^ mix(shown.astype(_U) ^ self.seed))
+        return mix(sketch[shown] ^ mix(shown.astype(_U) ^ self.seed)), self.low << NEED_BITS | min(least, NEED)
 
 
 @functools.lru_cache(maxsize=None)
@@ -135,12 +142,11 @@ def _classify(batches):
 
 def _emit(batches):
     seen: set[int] = set()
-    keys, owners, held = [], [], 0
+    keys, owners, tags, held = [], [], [], 0
 
     def out():
-        return pa.RecordBatch.from_arrays(
-            [pa.array(signed(np.concatenate(keys))), pa.array(np.concatenate(owners))], ["key", "class"]
-        )
+        columns = (signed(np.concatenate(keys)), np.concatenate(owners), np.concatenate(tags))
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "class", "tag"])
 
     for _, members in _sets(batches):
         if not (taking := bands(len(members))):
@@ -152,13 +158,14 @@ def _emit(batches):
             seen.clear()
         seen.add(owner)
         for band in taking:
-            found = band.keys(members)
+            found, tag = band.keys(members)
             keys.append(found)
             owners.append(np.full(len(found), owner, np.int64))
+            tags.append(np.full(len(found), tag, np.int64))
             held += len(found)
         if held >= 200_000:
             yield out()
-            keys, owners, held = [], [], 0
+            keys, owners, tags, held = [], [], [], 0
     if held:
         yield out()
 
@@ -170,8 +177,9 @@ def _with_members(batches):
             part = classes.slice(block.rows.start, len(block.rows))
             found = [signed(s) for s in shingle_sets(block, SHINGLE)]
             ends = np.cumsum([0, *(len(s) for s in found)])
-            lists = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(np.concatenate(found)))
-            yield pa.RecordBatch.from_arrays([part, lists.cast(pa.list_(pa.int64()))], ["class", "members"])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found)))
+            chunks = batch.column(3).slice(block.rows.start, len(block.rows))
+            yield pa.RecordBatch.from_arrays([part, chunks, lists], ["class", "chunk", "members"])
 
 
 def links_between(sets: list[np.ndarray], side: np.ndarray, across: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -267,11 +275,30 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
 
 def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(class, leader): classes that share a key with a smaller one, its leader."""
+    """(class, leader): classes under the smallest class of a key they share with others.
+
+    A class stays only if, in a band, it shares as many keys with others as it
+    must share with any one partner.
+    """
     rows = docs.select(F.lit(0).cast("bigint"), F.col(f"`{text}`"))
-    emitted = map_arrow(rows, _emit, "key bigint, class bigint")
-    first = F.first("class").over(Window.partitionBy("key").orderBy("class"))
-    return emitted.withColumn("leader", first).filter("class <> leader").select("class", "leader").distinct()
+    emitted = map_arrow(rows, _emit, "key bigint, class bigint, tag bigint")
+    under = Window.partitionBy("key").orderBy("class")
+    whole = under.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    met = durable(
+        emitted.withColumns(
+            {
+                "leader": F.first("class").over(whole),
+                "top": F.last("class").over(whole),
+                "before": F.lag("class").over(under),
+            }
+        )
+        .filter("leader <> top and (before is null or before <> class)")
+        .groupBy("class", "tag", "leader")
+        .agg(F.count("*").alias("shared"))
+    )
+    enough = met.groupBy("class", "tag").agg(F.sum("shared").alias("all"))
+    enough = enough.filter(F.col("all") >= F.col("tag").bitwiseAND(F.lit(NEED))).drop("all")
+    return met.join(enough, ["class", "tag"], "left_semi").select("class", "leader").distinct()
 
 
 def _chunks(met: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -297,7 +324,6 @@ def links(docs: DataFrame, table: DataFrame, key: str = "doc_id", text: str = "t
     that other edges already join are left out.
     """
     met = durable(candidates(docs, text))
-    met = met.unionByName(met.select(F.col("leader").alias("class"), "leader").distinct())
     reps = table.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"))
     dealt, pairs = _chunks(met, reps)
     wanted = durable(dealt.join(reps, "class").select("class", "chunk", "rep"))
@@ -306,8 +332,9 @@ def links(docs: DataFrame, table: DataFrame, key: str = "doc_id", text: str = "t
         ids = F.broadcast(ids)
     texts = docs.select(F.col(f"`{key}`").cast("bigint").alias("__id"), F.col(f"`{text}`").alias("__text"))
     found = texts.join(ids, F.col("__id") == F.col("__rep"))
-    sets = map_arrow(found.select("__id", "__text", "class"), _with_members, "class bigint, members array<bigint>")
-    sets = sets.join(wanted.select("class", "chunk"), "class")
+    sets = map_arrow(
+        found.select("__id", "__text", "class", "chunk"), _with_members, "class bigint, chunk bigint, members array<bigint>"
+    )
     sides = pairs.select("ca", "cb", F.explode(F.array_distinct(F.array("ca", "cb"))).alias("chunk"))
     compared = (
         sides.join(sets, "chunk")
