@@ -39,8 +39,10 @@ from shelfcast.session import staging_path
 K = 8.0
 LEVELS = 4096
 #: Bytes of text for each shard, and entries a task holds before it sends them on.
-SHARD_BYTES = 32_000_000
-HELD = 6_000_000
+SHARD_BYTES = 16_000_000
+HELD = 2_000_000
+#: Bytes of text that go to the shards as one batch.
+BATCH_BYTES = 4_000_000
 
 _U = np.uint64
 END, START = _U(0x1D8AF6B3C2E45971), _U(0x7A3C95E1B04D2F68)
@@ -80,6 +82,16 @@ def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
+def _small(x: np.ndarray) -> np.ndarray:
+    """Whole numbers from 0 on in the narrowest type."""
+    return x.astype(np.min_scalar_type(int(x.max()) if len(x) else 0))
+
+
+def _coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    distinct, codes = np.unique(values, return_inverse=True)
+    return distinct, _small(codes)
+
+
 def _split(shard: np.ndarray, shards: int):
     """(shard, places of its entries) for every shard that has some."""
     order = np.argsort(shard, kind="stable")
@@ -98,10 +110,11 @@ def _count(shards: int):
         rows = []
         w, c = _summed(words, np.ones(len(words)))
         for s, at in _split((w % _U(shards)).astype(np.int64), shards):
-            rows.append((s, 0, pack(w[at], c[at])))
+            rows.append((s, 0, pack(w[at], _small(c[at]))))
         key, c, u, v = _summed(_pair(contexts, words), np.ones(len(words)), contexts, words)
         for s, at in _split((key % _U(shards)).astype(np.int64), shards):
-            rows.append((s, 1, pack(key[at], u[at], v[at], c[at])))
+            at = at[np.lexsort((v[at], u[at]))]
+            rows.append((s, 1, pack(*_coded(u[at]), *_coded(v[at]), _small(c[at]))))
         return _batch(rows, names, kinds)
 
     def count(batches):
@@ -132,13 +145,17 @@ def _merge(shards: int):
             parts = [unpack(p) for p, k in zip(table.column("payload").to_pylist(), table.column("kind").to_pylist(), strict=True) if k == kind]
             if not parts:
                 continue
+            if kind == 1:
+                parts = [(us[a], vs[b], c) for us, a, vs, b, c in parts]
             columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
             if kind == 0:
                 w, c = _summed(columns[0], columns[1])
                 rows.append((shard, 0, pack(w, c), int(c.sum()), len(w), int(c[w == END].sum())))
             else:
-                _, c, u, v = _summed(columns[0], columns[3], columns[1], columns[2])
-                rows.append((shard, 1, pack(u, v, c), 0, 0, 0))
+                _, c, u, v = _summed(_pair(columns[0], columns[1]), columns[2], columns[0], columns[1])
+                order = np.lexsort((v, u))
+                u, v, c = u[order], v[order], c[order]
+                rows.append((shard, 1, pack(*_coded(u), *_coded(v), _small(c)), 0, 0, 0))
                 asked = np.unique(np.concatenate([u, v]))
                 asked = asked[asked != START]
                 for s, at in _split((asked % _U(shards)).astype(np.int64), shards):
@@ -177,8 +194,10 @@ class EliasFano:
         top = int(values[-1]) if n else 0
         self.low_bits = max(0, (top // max(1, n)).bit_length() - 1)
         low = values & _U((1 << self.low_bits) - 1)
-        bits = (low[:, None] >> np.arange(self.low_bits, dtype=_U)) & _U(1)
-        self.low = np.packbits(bits.astype(np.uint8).reshape(-1))
+        bits = np.empty((n, self.low_bits), np.uint8)
+        for j in range(self.low_bits):
+            bits[:, j] = (low >> _U(j)) & _U(1)
+        self.low = np.packbits(bits.reshape(-1))
         high = (values >> _U(self.low_bits)).astype(np.int64)
         unary = np.zeros(n + (int(high[-1]) if n else 0) + 1, np.uint8)
         unary[high + np.arange(n)] = 1
@@ -233,7 +252,8 @@ def _build(tokens: int, types: int, ends: int):
         rows = []
         answers = [unpack(p) for p in right.column("payload").to_pylist()]
         for shard, payload in zip(left.column("shard").to_pylist(), left.column("payload").to_pylist(), strict=True):
-            u, v, c = unpack(payload)
+            us, a, vs, b, c = unpack(payload)
+            u, v, c = us[a], vs[b], c.astype(np.int64)
             words, counts = (np.concatenate(x) for x in zip(*answers, strict=True))
             order = np.argsort(words)
             words, counts = words[order], counts[order]
@@ -252,40 +272,47 @@ def _ask(shards: int):
     """Kind 0 and 1: a batch's words and pairs for a shard; 2: its ids and token numbers."""
     names, kinds = ["shard", "kind", "batch", "payload"], [pa.int64(), pa.int32(), pa.int64(), pa.binary()]
 
+    def entries(rows, tokens, context):
+        # Equal words, and equal pairs, of a row become one entry with a count.
+        own = rows.astype(_U) * _U(0xD6E8FEB86659FD93)
+        _, c, r, w = _summed(mix(tokens + own), np.ones(len(rows)), rows, tokens)
+        _, d, q, u, v = _summed(mix(_pair(context, tokens) + own), np.ones(len(rows)), rows, context, tokens)
+        return r, w, c, q, u, v, d
+
+    def out(number, ids, parts, lengths):
+        r, w, c, q, u, v, d = (np.concatenate(x) for x in zip(*parts, strict=True))
+        n = np.array([len(ids)])
+        rows = [(number % shards, 2, number, pack(np.array(ids), np.concatenate(lengths)))]
+        for s, at in _split((w % _U(shards)).astype(np.int64), shards):
+            at = at[np.lexsort((r[at], w[at]))]
+            rows.append((s, 0, number, pack(n, *_coded(w[at]), _small(r[at]), _small(c[at]))))
+        for s, at in _split((_pair(u, v) % _U(shards)).astype(np.int64), shards):
+            at = at[np.lexsort((v[at], u[at]))]
+            rows.append((s, 1, number, pack(n, *_coded(u[at]), *_coded(v[at]), _small(q[at]), _small(d[at]))))
+        return _batch(rows, names, kinds)
+
     def ask(batches):
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            parts = []
-            lengths = []
+            keys = batch.column(0).to_pylist()
+            ids, parts, lengths, size = [], [], [], 0
             for block in blocks(batch.column(1)):
                 rows, context, tokens = _sequence(block)
+                parts.append(entries(rows + len(ids), tokens, context))
                 lengths.append(block.last - block.first + 1)
-                n = len(block.rows)
-                # Equal words, and equal pairs, of a row become one entry with a count.
-                key, c, r, w = _summed(mix(tokens + rows.astype(_U) * _U(0xD6E8FEB86659FD93)), np.ones(len(rows)), rows, tokens)
-                key, d, q, u, v = _summed(mix(_pair(context, tokens) + rows.astype(_U) * _U(0xD6E8FEB86659FD93)), np.ones(len(rows)), rows, context, tokens)
-                parts.append((r + block.rows.start, w, c, q + block.rows.start, u, v, d, n))
-            if not parts:
-                continue
-            number += 1
-            r, w, c, q, u, v, d = (np.concatenate(x) for x in list(zip(*parts, strict=True))[:7])
-            out = [(number % shards, 2, number, pack(np.array(batch.column(0).to_pylist()), np.concatenate(lengths)))]
-            for s, at in _split((w % _U(shards)).astype(np.int64), shards):
-                at = at[np.argsort(w[at], kind="stable")]
-                out.append((s, 0, number, pack(np.array([batch.num_rows]), *_coded(w[at]), r[at].astype(np.int32), c[at].astype(np.int32))))
-            for s, at in _split((_pair(u, v) % _U(shards)).astype(np.int64), shards):
-                at = at[np.lexsort((v[at], u[at]))]
-                out.append((s, 1, number, pack(np.array([batch.num_rows]), *_coded(u[at]), *_coded(v[at]), q[at].astype(np.int32), d[at].astype(np.int32))))
-            yield _batch(out, names, kinds)
+                ids += keys[block.rows.start : block.rows.stop]
+                size += len(block.data)
+                if size >= BATCH_BYTES:
+                    number += 1
+                    yield out(number, ids, parts, lengths)
+                    ids, parts, lengths, size = [], [], [], 0
+            if ids:
+                number += 1
+                yield out(number, ids, parts, lengths)
 
     return ask
 
 
-def _coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    distinct, codes = np.unique(values, return_inverse=True)
-    return distinct, codes.astype(np.uint16 if len(distinct) < 65536 else np.uint32)
-
-
 def _reply(tokens: int, types: int):
     """Left: questions of batches; right: a shard's words (0) and trie (1). Gives sums per row of each batch."""
 
