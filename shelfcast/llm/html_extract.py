@@ -131,11 +131,10 @@ def extract(page: str | None, weights: dict[str, tuple[float, float]]) -> str:
         for name, key in stack:
             if name in ("html", "body", "article", "main"):
                 continue
-            known = weights.get(key)
-            if known is not None and known[0] != 0.0:
-                if known[0] < -2:
-                    return True
-            elif name in ASIDE or "." in key:
+            words = weights.get(key, (0.0, 0.0))[0]
+            marked = name in ASIDE or "." in key
+            # Marked elements are aside unless their words are mostly main text; others need clear evidence.
+            if words < -2 or marked and words <= 0:
                 return True
         return False
 
