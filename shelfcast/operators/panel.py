@@ -68,6 +68,8 @@ def _expand(
     fill_value,
     value_col: str,
 ) -> DataFrame:
+    # A row without a date joins no calendar day.
+    df = df.where(F.col(date_col).isNotNull())
     step = F.expr(dates.PERIODS[unit][1])
     window = Window.partitionBy(*keys).orderBy(date_col)
     here = F.col(date_col)

@@ -57,7 +57,8 @@ def weekday_totals(df: DataFrame, weeks: int = 4) -> DataFrame:
         .agg(F.sum("y").alias("y"))
     )
     names = F.array(*[F.lit(n) for n in WEEK_NAMES])
-    return grouped.withColumn("Week", F.get(names, F.col("Week") - 1))
+    older = F.concat((F.col("Week") - 1).cast("string"), F.lit(" weeks ago"))
+    return grouped.withColumn("Week", F.coalesce(F.get(names, F.col("Week") - 1), older))
 
 
 def daily_totals(df: DataFrame) -> DataFrame:
@@ -156,10 +157,10 @@ def worst_items(
     other = newest.where(F.col("Model") == benchmark).select(
         ID, "cv", F.col(metric).alias("benchmark")
     )
-    # At most `limit` rows on the left; they are the side to broadcast.
-    return (
-        other.join(F.broadcast(top), [ID, "cv"], "right").orderBy("focus", ID, "cv")
-    )
+    # The `limit` listed items are broadcast to thin out the benchmark before the outer join.
+    listed = F.broadcast(top.select(ID, "cv"))
+    other = other.join(listed, [ID, "cv"], "left_semi")
+    return top.join(other, [ID, "cv"], "left").orderBy("focus", ID, "cv")
 
 
 def confirmed_errors(scores: DataFrame, name: str, limit: int = 40) -> DataFrame:

@@ -124,3 +124,12 @@ def test_fill_needs_no_second_exchange(series):
     plan = lagged._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(unique_id#") <= 2
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_fill_drops_rows_without_a_date(spark, series):
+    from shelfcast.operators.panel import fill_calendar
+
+    panel = series({"a": {0: 1.0, 2: 3.0}})
+    broken = panel.unionByName(spark.createDataFrame([("a", None, 9.0)], panel.schema))
+    key = lambda df: sorted((r.unique_id, r.date, r.y) for r in df.collect())
+    assert key(fill_calendar(broken)) == key(fill_calendar(panel))
