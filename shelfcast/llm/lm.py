@@ -14,6 +14,8 @@ pairs asks the shards of words for its words' counts once and becomes a trie: a
 level of contexts, monotone pointers into a level of successors, both Elias-Fano
 coded, and the pairs' numbers quantised to a code book of LEVELS values. Texts are
 sent to the shards in batches the same way, and the shards' sums return to them.
+Words that make up at least one in COMMON of the training tokens, so COMMON words
+at most, are broadcast and travel as their place in that list.
 
 Defined results: a null or empty text has the end as its only token; with no
 training rows N and V are 0 and every word is unknown.
@@ -43,6 +45,8 @@ SHARD_BYTES = 16_000_000
 HELD = 2_000_000
 #: Bytes of text that go to the shards as one batch.
 BATCH_BYTES = 4_000_000
+#: Bound on the number of words that are broadcast, 8 bytes each.
+COMMON = 1 << 20
 
 _U = np.uint64
 END, START = _U(0x1D8AF6B3C2E45971), _U(0x7A3C95E1B04D2F68)
@@ -72,10 +76,17 @@ def _sequence(block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return rows, context, tokens
 
 
-def _summed(keys: np.ndarray, counts: np.ndarray, *beside: np.ndarray):
-    """Distinct keys in order, their summed counts, and of the arrays beside them one value each."""
-    distinct, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-    return (distinct, np.bincount(inverse, counts).astype(np.int64), *(x[first] for x in beside))
+def _summed(keys: np.ndarray, counts: np.ndarray | None, *beside: np.ndarray):
+    """Distinct keys in order, their summed counts (None: one each), and of the arrays beside them one value each."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
+    if counts is None:
+        total = np.diff(first, append=len(keys))
+    else:
+        total = np.add.reduceat(counts[order].astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
+    at = order[first]
+    return (keys[first], total, *(x[at] for x in beside))
 
 
 def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
@@ -92,8 +103,28 @@ def _coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return distinct, _small(codes)
 
 
-def _split(shard: np.ndarray, shards: int):
+def _ordered(u: np.ndarray, v: np.ndarray):
+    """Distinct u, their codes, distinct v, their codes, and the order of the pairs."""
+    (us, a), (vs, b) = _coded(u), _coded(v)
+    order = np.argsort(a.astype(np.int64) * len(vs) + b)
+    return us, a[order], vs, b[order], order
+
+
+def _shorten(words: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct words in order as steps between their places among the common ones, and the others."""
+    at = np.searchsorted(common, words)
+    known = np.append(common, _U(0))[at] == words
+    known &= at < len(common)
+    return _small(np.diff(at[known], prepend=0)), words[~known]
+
+
+def _restore(steps: np.ndarray, others: np.ndarray, common: np.ndarray) -> np.ndarray:
+    return np.sort(np.concatenate([common[np.cumsum(steps, dtype=np.int64)], others]))
+
+
+def _split(keys: np.ndarray, shards: int):
     """(shard, places of its entries) for every shard that has some."""
+    shard = (keys % _U(shards)).astype(np.uint16 if shards <= 1 << 16 else np.int64)
     order = np.argsort(shard, kind="stable")
     cuts = np.searchsorted(shard[order], np.arange(shards + 1))
     for s in range(shards):
@@ -104,31 +135,33 @@ def _split(shard: np.ndarray, shards: int):
 def _count(shards: int):
     names, kinds = ["shard", "kind", "payload"], [pa.int64(), pa.int32(), pa.binary()]
 
-    def out(held):
-        words = np.concatenate([h[1] for h in held])
-        contexts = np.concatenate([h[0] for h in held])
+    def out(contexts, words):
         rows = []
-        w, c = _summed(words, np.ones(len(words)))
-        for s, at in _split((w % _U(shards)).astype(np.int64), shards):
+        w, c = _summed(words, None)
+        for s, at in _split(w, shards):
             rows.append((s, 0, pack(w[at], _small(c[at]))))
-        key, c, u, v = _summed(_pair(contexts, words), np.ones(len(words)), contexts, words)
-        for s, at in _split((key % _U(shards)).astype(np.int64), shards):
-            at = at[np.lexsort((v[at], u[at]))]
-            rows.append((s, 1, pack(*_coded(u[at]), *_coded(v[at]), _small(c[at]))))
+        key, c, u, v = _summed(_pair(contexts, words), None, contexts, words)
+        for s, at in _split(key, shards):
+            *coded, order = _ordered(u[at], v[at])
+            rows.append((s, 1, pack(*coded, _small(c[at][order]))))
         return _batch(rows, names, kinds)
 
     def count(batches):
-        held, n = [], 0
+        # Both are filled in place, so that no second copy is held.
+        contexts, words, n = np.empty(HELD, _U), np.empty(HELD, _U), 0
         for batch in batches:
             for block in blocks(batch.column(0)):
                 _, context, tokens = _sequence(block)
-                held.append((context, tokens))
-                n += len(tokens)
-                if n >= HELD:
-                    yield out(held)
-                    held, n = [], 0
+                for begin in range(0, len(tokens), HELD):
+                    part = slice(begin, begin + HELD)
+                    size = len(tokens[part])
+                    if n + size > HELD:
+                        yield out(contexts[:n], words[:n])
+                        n = 0
+                    contexts[n : n + size], words[n : n + size] = context[part], tokens[part]
+                    n += size
         if n:
-            yield out(held)
+            yield out(contexts[:n], words[:n])
 
     return count
 
@@ -153,12 +186,11 @@ def _merge(shards: int):
                 rows.append((shard, 0, pack(w, c), int(c.sum()), len(w), int(c[w == END].sum())))
             else:
                 _, c, u, v = _summed(_pair(columns[0], columns[1]), columns[2], columns[0], columns[1])
-                order = np.lexsort((v, u))
-                u, v, c = u[order], v[order], c[order]
-                rows.append((shard, 1, pack(*_coded(u), *_coded(v), _small(c)), 0, 0, 0))
-                asked = np.unique(np.concatenate([u, v]))
+                *coded, order = _ordered(u, v)
+                rows.append((shard, 1, pack(*coded, _small(c[order])), 0, 0, 0))
+                asked = np.union1d(coded[0], coded[2])
                 asked = asked[asked != START]
-                for s, at in _split((asked % _U(shards)).astype(np.int64), shards):
+                for s, at in _split(asked, shards):
                     rows.append((s, 2, pack(np.array([shard]), asked[at]), 0, 0, 0))
         kinds = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
         return pa.Table.from_batches([_batch(rows, ["shard", "kind", "payload", "tokens", "types", "ends"], kinds)])
@@ -268,27 +300,42 @@ def _build(tokens: int, types: int, ends: int):
     return build
 
 
-def _ask(shards: int):
+def _frequent(tokens: int):
+    """Of every shard's words those that are common."""
+
+    def frequent(batches):
+        for batch in batches:
+            for cell in batch.column(0):
+                words, counts = unpack(cell.as_py())
+                found = words[counts * COMMON >= tokens]
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["word"])
+
+    return frequent
+
+
+def _ask(shards: int, common):
     """Kind 0 and 1: a batch's words and pairs for a shard; 2: its ids and token numbers."""
     names, kinds = ["shard", "kind", "batch", "payload"], [pa.int64(), pa.int32(), pa.int64(), pa.binary()]
 
     def entries(rows, tokens, context):
         # Equal words, and equal pairs, of a row become one entry with a count.
         own = rows.astype(_U) * _U(0xD6E8FEB86659FD93)
-        _, c, r, w = _summed(mix(tokens + own), np.ones(len(rows)), rows, tokens)
-        _, d, q, u, v = _summed(mix(_pair(context, tokens) + own), np.ones(len(rows)), rows, context, tokens)
+        _, c, r, w = _summed(mix(tokens + own), None, rows, tokens)
+        _, d, q, u, v = _summed(mix(_pair(context, tokens) + own), None, rows, context, tokens)
         return r, w, c, q, u, v, d
 
     def out(number, ids, parts, lengths):
         r, w, c, q, u, v, d = (np.concatenate(x) for x in zip(*parts, strict=True))
         n = np.array([len(ids)])
         rows = [(number % shards, 2, number, pack(np.array(ids), np.concatenate(lengths)))]
-        for s, at in _split((w % _U(shards)).astype(np.int64), shards):
-            at = at[np.lexsort((r[at], w[at]))]
-            rows.append((s, 0, number, pack(n, *_coded(w[at]), _small(r[at]), _small(c[at]))))
-        for s, at in _split((_pair(u, v) % _U(shards)).astype(np.int64), shards):
-            at = at[np.lexsort((v[at], u[at]))]
-            rows.append((s, 1, number, pack(n, *_coded(u[at]), *_coded(v[at]), _small(q[at]), _small(d[at]))))
+        for s, at in _split(w, shards):
+            words, codes = _coded(w[at])
+            order = np.lexsort((r[at], codes))
+            rows.append((s, 0, number, pack(n, *_shorten(words, common.value), codes[order], _small(r[at][order]), _small(c[at][order]))))
+        for s, at in _split(_pair(u, v), shards):
+            us, a, vs, b, order = _ordered(u[at], v[at])
+            sent = pack(n, *_shorten(us, common.value), a, *_shorten(vs, common.value), b, _small(q[at][order]), _small(d[at][order]))
+            rows.append((s, 1, number, sent))
         return _batch(rows, names, kinds)
 
     def ask(batches):
@@ -313,7 +360,7 @@ def _ask(shards: int):
     return ask
 
 
-def _reply(tokens: int, types: int):
+def _reply(tokens: int, types: int, common):
     """Left: questions of batches; right: a shard's words (0) and trie (1). Gives sums per row of each batch."""
 
     def reply(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -333,14 +380,16 @@ def _reply(tokens: int, types: int):
             parts = unpack(payload)
             n = int(parts[0][0])
             if kind == 0:
-                _, names, codes, at, times = parts
+                _, steps, others, codes, at, times = parts
+                names = _restore(steps, others, common.value)
                 c = lookup(names, words, counts)[codes]
                 base = np.bincount(at, times * np.log10((c + 0.5) / (tokens + 0.5 * (types + 1))), minlength=n)
                 known = np.bincount(at, times * (c > 0), minlength=n)
                 context = np.where(names[codes] == END, 0.0, np.log10(K / (c + K)))
                 rows.append((batch, 0, pack(base, known.astype(np.int32), np.bincount(at, times * context, minlength=n))))
             elif trie is not None:
-                _, us, a, vs, b, at, times = parts
+                _, steps, others, a, steps_v, others_v, b, at, times = parts
+                us, vs = _restore(steps, others, common.value), _restore(steps_v, others_v, common.value)
                 rows.append((batch, 1, pack(np.bincount(at, times * trie.find(us[a], vs[b]), minlength=n))))
         if not rows:
             return pa.table({"batch": pa.array([], pa.int64()), "kind": pa.array([], pa.int32()), "payload": pa.array([], pa.binary())})
@@ -379,8 +428,8 @@ def _gather(start: float):
 class Model:
     """Tables of a trained model: words and tries by shard, below a shared path."""
 
-    def __init__(self, tables: DataFrame, shards: int, tokens: int, types: int, ends: int):
-        self.tables, self.shards, self.tokens, self.types, self.ends = tables, shards, tokens, types, ends
+    def __init__(self, tables: DataFrame, shards: int, tokens: int, types: int, ends: int, common: np.ndarray):
+        self.tables, self.shards, self.tokens, self.types, self.ends, self.common = tables, shards, tokens, types, ends, common
 
 
 def train(docs: DataFrame, text: str = "text") -> Model:
@@ -400,20 +449,23 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         # Read anew: grouping two selections of one frame together mixes up their columns.
         return spark.read.parquet(path).filter(F.col("kind") == kind).select("shard", "kind", "payload")
 
+    frequent = map_arrow(part(0).select("payload"), _frequent(tokens), "word bigint").toArrow().column("word")
+    common = np.sort(frequent.to_numpy().view(_U))
     words, asked, pairs = part(0), part(2), part(1)
     answers = asked.groupBy("shard").cogroup(part(0).groupBy("shard")).applyInArrow(_answer, "shard bigint, payload binary")
     tries = pairs.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(_build(tokens, types, ends), "shard bigint, kind int, payload binary")
     out = staging_path(spark, "model")
     words.unionByName(tries).write.parquet(out)
-    return Model(spark.read.parquet(out), shards, tokens, types, ends)
+    return Model(spark.read.parquet(out), shards, tokens, types, ends, common)
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) of every row."""
     rows = docs.select(F.col(f"`{key}`").cast("bigint"), F.col(f"`{text}`"))
-    asked = map_arrow(rows, _ask(model.shards), "shard bigint, kind int, batch bigint, payload binary")
+    common = docs.sparkSession.sparkContext.broadcast(model.common)
+    asked = map_arrow(rows, _ask(model.shards, common), "shard bigint, kind int, batch bigint, payload binary")
     replies = asked.groupBy("shard").cogroup(model.tables.groupBy("shard")).applyInArrow(
-        _reply(model.tokens, model.types), "batch bigint, kind int, payload binary"
+        _reply(model.tokens, model.types, common), "batch bigint, kind int, payload binary"
     )
     start = math.log10(K / (model.ends + K))
     return replies.groupBy("batch").applyInArrow(

@@ -155,3 +155,30 @@ def test_base_spans_equal_plain_regexes(spark):
         spans = sorted((m.start(), k, m.end()) for k, (_, p, g, n) in enumerate(rules) for m in p.finditer(r.text or "") if len(m[g]) >= n)
         text = ",".join(f"{rules[k][0]}:{a}:{b}" for a, k, b in spans)
         assert rows[r.doc_id].base_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_lm_scores_equal_plain_counts(spark):
+    import math
+    import zlib
+    from collections import Counter
+
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = {i: [*re.findall(r"[^\x20\x09-\x0D]+", t.translate(lower)), "</s>"] for i, t in texts.items()}
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in texts}
+    one = Counter(w for i, ws in words.items() if not held[i] for w in ws)
+    two = Counter(p for i, ws in words.items() if not held[i] for p in zip(["<s>", *ws], ws))
+    n, v = sum(one.values()), len(one)
+    context = {**one, "<s>": one["</s>"]}
+
+    def p(w):
+        return (one[w] + 0.5) / (n + 0.5 * (v + 1))
+
+    rows = catalog.op5_lm_scoring(spark, SF).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ws = words[r.doc_id]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[r.doc_id], len(ws), sum(one[w] > 0 for w in ws), n)
+        assert r.base_score == pytest.approx(sum(math.log10(p(w)) for w in ws), rel=1e-9)
+        exact = sum(math.log10((two[u, w] + lm.K * p(w)) / (context.get(u, 0) + lm.K)) for u, w in zip(["<s>", *ws], ws))
+        assert abs(r.score - exact) <= 0.02 * len(ws)  # the code book rounds each pair's number
