@@ -41,7 +41,7 @@ from shelfcast.session import staging_path
 K = 8.0
 LEVELS = 4096
 #: Bytes of text for each shard, and entries a task holds before it sends them on.
-SHARD_BYTES = 16_000_000
+SHARD_BYTES = 8_000_000
 HELD = 2_000_000
 #: Bytes of text that go to the shards as one batch.
 BATCH_BYTES = 4_000_000
