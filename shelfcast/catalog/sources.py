@@ -218,8 +218,8 @@ PROFILE = Profile(
 
 @query(
     "st1_arrivals",
-    """select unique_id, date, y, date > (select max(date) from f1) - 21 as accepted
-       from f1 where date > (select max(date) from f1) - 28""",
+    """select unique_id, date, y, date > (select max(date) from f1) - 21 or date <= (select max(date) from f1) - 28 as accepted
+       from f1""",
 )
 def st1_arrivals(spark, sf):
     from datetime import timedelta
@@ -229,17 +229,21 @@ def st1_arrivals(spark, sf):
     last = p.span(spark, sf)[1]
     sales = p.brand_sales(spark, sf)
     folder = staging_path(spark, "landing")
-    for week in range(4):
-        end = last - timedelta(days=7 * week)
-        start = end - timedelta(days=7)
-        # The oldest week arrives under a name that is not accepted.
-        name = f"{end:%d%m%y}.csv" if week < 3 else "oldest.csv"
+    # All older weeks come as one file, then four weekly ones, the oldest of
+    # them under a name that is not accepted.
+    weeks = [(last - timedelta(days=7 * (k + 1)), last - timedelta(days=7 * k)) for k in range(4)]
+    names = [f"{end:%d%m%y}.csv" for _, end in weeks[:3]] + ["oldest.csv"]
+    older = sales.where(F.col("date") <= F.lit(weeks[3][0]))
+    older.write.csv(f"{folder}/{weeks[3][0]:%d%m%y}.csv", header=True)
+    table, quarantine = staging_path(spark, "history"), staging_path(spark, "quarantine")
+    progress = staging_path(spark, "progress")
+    for name, (start, end) in zip(names, weeks, strict=True):
         rows = sales.where((F.col("date") > F.lit(start)) & (F.col("date") <= F.lit(end)))
         rows.write.csv(f"{folder}/{name}", header=True)
-    table, quarantine = staging_path(spark, "history"), staging_path(spark, "quarantine")
-    running = arrivals.ingest(spark, folder, table, quarantine, staging_path(spark, "progress"))
-    running.awaitTermination()
-    good = spark.read.parquet(table).withColumn("accepted", F.lit(True))
+    arrivals.ingest(spark, folder, table, quarantine, progress).awaitTermination()
+    # A new checkpoint reads everything again; the stored rows stay the same.
+    arrivals.ingest(spark, folder, table, quarantine, f"{progress}-2").awaitTermination()
+    good = arrivals.stored_history(spark, table).withColumn("accepted", F.lit(True))
     bad = spark.read.parquet(quarantine).withColumn("accepted", F.lit(False))
     columns = ["unique_id", "date", "y", "accepted"]
     return good.select(*columns).unionByName(bad.select(*columns))
@@ -261,15 +265,20 @@ def st2_score_arrivals(spark, sf):
 
     days = p.span(spark, sf)
     truth_table, scores = staging_path(spark, "truth"), staging_path(spark, "scores")
-    p.truth(spark, sf, days).withColumn("batch", F.lit(0)).write.parquet(truth_table)
-    running = arrivals.score_arrivals(
-        spark,
-        truth_table,
-        p.published(spark, sf, LABELS),
-        p.brand_sales(spark, sf),
-        PROFILE,
-        scores,
-        staging_path(spark, "progress"),
-    )
-    running.awaitTermination()
+    truth, progress = p.truth(spark, sf, days), staging_path(spark, "progress")
+    early = F.col("date") <= F.date_sub(F.lit(days[1]), 4)
+    # The week arrives in two files; nothing is scored before the second one.
+    for source, part in enumerate((truth.where(early), truth.where(~early))):
+        rows = part.withColumns({"file": F.lit("310100.csv"), "source": F.lit(source)})
+        rows.write.mode("append").partitionBy("source").parquet(truth_table)
+        running = arrivals.score_arrivals(
+            spark,
+            truth_table,
+            p.published(spark, sf, LABELS),
+            p.brand_sales(spark, sf),
+            PROFILE,
+            scores,
+            progress,
+        )
+        running.awaitTermination()
     return rounded(spark.read.parquet(scores))

@@ -227,3 +227,16 @@ def test_arrivals_are_checked_and_read_once(spark, tmp_path):
     stored = spark.read.parquet(table).select("unique_id", "date", "y").collect()
     assert sorted(map(tuple, stored)) == [("a", date(2016, 3, 7), 1.0), ("a", date(2016, 3, 14), 2.0)]
     assert [r["unique_id"] for r in spark.read.parquet(bad).collect()] == ["z"]
+
+
+def test_a_new_checkpoint_and_an_overlapping_file_lose_and_double_nothing(spark, tmp_path):
+    landing, table, bad = (str(tmp_path / n) for n in ("in", "table", "bad"))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "070316.csv").write_text("unique_id,date,y\na,2016-03-06,1\na,2016-03-07,1\n")
+    arrivals.ingest(spark, landing, table, bad, str(tmp_path / "p1")).awaitTermination()
+    (tmp_path / "in" / "140316.csv").write_text("unique_id,date,y\na,2016-03-07,5\na,2016-03-14,2\n")
+    arrivals.ingest(spark, landing, table, bad, str(tmp_path / "p1")).awaitTermination()
+    arrivals.ingest(spark, landing, table, bad, str(tmp_path / "p2")).awaitTermination()
+    stored = sorted(map(tuple, arrivals.stored_history(spark, table).collect()))
+    assert stored == [("a", date(2016, 3, 6), 1.0), ("a", date(2016, 3, 7), 5.0), ("a", date(2016, 3, 14), 2.0)]
+    assert spark.read.parquet(table).count() == 4
