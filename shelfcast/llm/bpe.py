@@ -87,6 +87,7 @@ class Tokenizer:
         self.tokens = [base64.b64decode(token) for token, _ in entries]
         self.ranks = [int(rank) for _, rank in entries]
         self.table = PerfectHash(self.tokens)
+        self.by_bytes = dict(zip(self.tokens, self.ranks, strict=True))  # ranks of merged pairs
         self.by_id = dict(zip(self.ranks, self.tokens, strict=True))
         self.split = regex.compile(pattern).findall
         self.known: dict[str, tuple[int, ...]] = {}
@@ -100,17 +101,17 @@ class Tokenizer:
         n = len(piece)
         after, before, end = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
         alive = bytearray(b"\x01") * n
-        heap: list[tuple[int, int, int]] = []
+        rank_of = self.by_bytes.get
+        heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank_of(piece[i : i + 2])) is not None]
+        heapq.heapify(heap)
 
         def offer(i: int) -> None:
             j = after[i]
             if j < n:
-                rank = self.rank(piece[i : end[j]])
+                rank = rank_of(piece[i : end[j]])
                 if rank is not None:
                     heapq.heappush(heap, (rank, i, end[j]))
 
-        for i in range(n - 1):
-            offer(i)
         while heap:
             _, i, stop = heapq.heappop(heap)
             j = after[i]
@@ -125,7 +126,7 @@ class Tokenizer:
                 offer(before[i])
         ids, i = [], 0
         while i < n:
-            rank = self.rank(piece[i : end[i]])
+            rank = rank_of(piece[i : end[i]])
             if rank is None:
                 raise ValueError(f"byte {piece[i : end[i]]!r} is not in the vocabulary")
             ids.append(rank)
