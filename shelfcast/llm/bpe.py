@@ -5,7 +5,8 @@ vocabulary's byte strings resolves a pre-token that is a token itself with one
 probe and one comparison. Any other is merged bottom-up: its bytes form a linked
 list, a heap holds the neighbouring pairs that are tokens by (rank, place), and
 the least pair merges until none is left. Pre-tokens recur, so each worker keeps
-those it has met, up to a fixed number, then starts afresh.
+the ids of those it has met, as bytes to be strung together, up to a fixed number
+or those of one text, then starts afresh.
 
 Defined results: a null text counts as empty and gives no ids; text that the
 pattern does not match gives none either (the public patterns match everything);
@@ -17,6 +18,7 @@ from __future__ import annotations
 import base64
 import functools
 import heapq
+from array import array
 from pathlib import Path
 
 import numpy as np
@@ -86,69 +88,79 @@ class Tokenizer:
         entries = [line.split() for line in ranks.splitlines() if line.strip()]
         self.tokens = [base64.b64decode(token) for token, _ in entries]
         self.ranks = [int(rank) for _, rank in entries]
-        self.table = PerfectHash(self.tokens)
         self.by_bytes = dict(zip(self.tokens, self.ranks, strict=True))  # ranks of merged pairs
         self.by_id = dict(zip(self.ranks, self.tokens, strict=True))
         self.split = regex.compile(pattern).findall
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
+
+    @functools.cached_property
+    def table(self) -> PerfectHash:
+        """Built at the first text: decoding does not need it."""
+        return PerfectHash(self.tokens)
 
     def rank(self, piece: bytes) -> int | None:
         at = self.table.find(piece)
         return self.ranks[at] if self.tokens[at] == piece else None
 
-    def merge(self, piece: bytes) -> tuple[int, ...]:
-        """Ids of a pre-token that is no token: the least pair of neighbours merges first, the left one at a tie."""
-        n = len(piece)
-        after, before, end = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
-        alive = bytearray(b"\x01") * n
-        rank_of = self.by_bytes.get
-        heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank_of(piece[i : i + 2])) is not None]
+    def merge(self, piece: bytes) -> list[int]:
+        """Ids of a pre-token that is no token: the least pair of neighbours merges first, the left one at a tie.
+
+        after[i] is where the part that starts at i ends and the next one starts. A heap entry is
+        one number, (rank, start, end of the pair) in order of weight; it is void once its pair no
+        longer ends there. Parts that merged into another point to the place past the end.
+        """
+        n, rank_of, push, pop = len(piece), self.by_bytes.get, heapq.heappush, heapq.heappop
+        bits = n.bit_length()
+        mask = (1 << bits) - 1
+        after, before = [*range(1, n + 1), -1], list(range(-1, n))
+        heap = [
+            (rank << bits | i) << bits | i + 2
+            for i in range(n - 1)
+            if (rank := rank_of(piece[i : i + 2])) is not None
+        ]
         heapq.heapify(heap)
-
-        def offer(i: int) -> None:
-            j = after[i]
-            if j < n:
-                rank = rank_of(piece[i : end[j]])
-                if rank is not None:
-                    heapq.heappush(heap, (rank, i, end[j]))
-
         while heap:
-            _, i, stop = heapq.heappop(heap)
+            entry = pop(heap)
+            i, end = entry >> bits & mask, entry & mask
             j = after[i]
-            if not alive[i] or j >= n or end[j] != stop:
+            if after[j] != end:
                 continue
-            alive[j] = 0
-            end[i], after[i] = stop, after[j]
-            if after[j] < n:
-                before[after[j]] = i
-            offer(i)
-            if before[i] >= 0:
-                offer(before[i])
+            after[i], after[j], before[end] = end, n, i
+            if end < n:
+                stop = after[end]
+                rank = rank_of(piece[i:stop])
+                if rank is not None:
+                    push(heap, (rank << bits | i) << bits | stop)
+            left = before[i]
+            if left >= 0:
+                rank = rank_of(piece[left:end])
+                if rank is not None:
+                    push(heap, (rank << bits | left) << bits | end)
         ids, i = [], 0
         while i < n:
-            rank = rank_of(piece[i : end[i]])
+            rank = rank_of(piece[i : after[i]])
             if rank is None:
-                raise ValueError(f"byte {piece[i : end[i]]!r} is not in the vocabulary")
+                raise ValueError(f"byte {piece[i : after[i]]!r} is not in the vocabulary")
             ids.append(rank)
             i = after[i]
-        return tuple(ids)
-
-    def encode(self, text: str) -> list[int]:
-        known, ids = self.known, []
-        for word in self.split(text):
-            found = known.get(word)
-            if found is None:
-                piece = word.encode()
-                if not piece:
-                    continue
-                rank = self.rank(piece)
-                found = self.merge(piece) if rank is None else (rank,)
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                known[word] = found
-            ids += found
         return ids
 
+    def _learn(self, words: set[str]) -> None:
+        for word in words:
+            piece = word.encode()
+            rank = self.rank(piece) if piece else None
+            ids = [rank] if rank is not None else self.merge(piece)
+            self.known[word] = array("i", ids).tobytes()
+
+    def encode(self, text: str) -> np.ndarray:
+        words = self.split(text)
+        new = set(words).difference(self.known)
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+            new = set(words)
+        self._learn(new)
+        return np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.int32)
+
     def decode(self, ids: list[int]) -> bytes:
         try:
             return b"".join(map(self.by_id.__getitem__, ids))
@@ -168,7 +180,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", out
 
     def ids(column: pa.Array) -> pa.Array:
         made = tokenizer(ranks.value, pattern)
-        parts = [np.array(made.encode(t or ""), np.int32) for t in column.to_pylist()]
+        parts = [made.encode(t or "") for t in column.to_pylist()]
         ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *parts])))
 
@@ -181,6 +193,9 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", out:
 
     def whole(column: pa.Array) -> pa.Array:
         made = tokenizer(ranks.value, pattern)
-        return pa.array([None if x is None else made.decode(x) for x in column.to_pylist()], pa.binary())
+        values, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+        present = column.is_valid().to_numpy(zero_copy_only=False)
+        parts = zip(present, ends[:-1], ends[1:], strict=True)
+        return pa.array([made.decode(values[a:b].tolist()) if there else None for there, a, b in parts], pa.binary())
 
     return append_column(df, ids, out, "binary", whole)
