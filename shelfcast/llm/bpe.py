@@ -5,8 +5,9 @@ vocabulary's byte strings resolves a pre-token that is a token itself with one
 probe and one comparison. Any other is merged bottom-up: its bytes form a linked
 list, a heap holds the neighbouring pairs that are tokens by (rank, place), and
 the least pair merges until none is left. Pre-tokens recur, so each worker keeps
-the ids of those it has met, as bytes to be strung together, up to a fixed number
-or those of one text, then starts afresh.
+the ids of those it has met, as bytes to be strung together, in two generations of
+a fixed size, or that of one text: the older one goes when the younger is full, and
+what is met again moves over.
 
 Defined results: a null text counts as empty and gives no ids; text that the
 pattern does not match gives none either (the public patterns match everything);
@@ -29,8 +30,8 @@ from pyspark.sql import DataFrame
 
 from shelfcast.llm.shipping import append_column
 
-#: Pre-tokens a worker remembers.
-REMEMBERED = 200_000
+#: Pre-tokens of one generation that a worker remembers, some 220 bytes each.
+REMEMBERED = 250_000
 
 
 class PerfectHash:
@@ -92,6 +93,7 @@ class Tokenizer:
         self.by_id = dict(zip(self.ranks, self.tokens, strict=True))
         self.split = regex.compile(pattern).findall
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @functools.cached_property
     def table(self) -> PerfectHash:
@@ -111,13 +113,10 @@ class Tokenizer:
         """
         n, rank_of, push, pop = len(piece), self.by_bytes.get, heapq.heappush, heapq.heappop
         bits = n.bit_length()
-        mask = (1 << bits) - 1
+        mask, double = (1 << bits) - 1, 2 * bits
         after, before = [*range(1, n + 1), -1], list(range(-1, n))
-        heap = [
-            (rank << bits | i) << bits | i + 2
-            for i in range(n - 1)
-            if (rank := rank_of(piece[i : i + 2])) is not None
-        ]
+        ranks = map(rank_of, map(piece.__getitem__, map(slice, range(n - 1), range(2, n + 1))))
+        heap = [rank << double | i << bits | i + 2 for i, rank in enumerate(ranks) if rank is not None]
         heapq.heapify(heap)
         while heap:
             entry = pop(heap)
@@ -130,12 +129,12 @@ class Tokenizer:
                 stop = after[end]
                 rank = rank_of(piece[i:stop])
                 if rank is not None:
-                    push(heap, (rank << bits | i) << bits | stop)
+                    push(heap, rank << double | i << bits | stop)
             left = before[i]
             if left >= 0:
                 rank = rank_of(piece[left:end])
                 if rank is not None:
-                    push(heap, (rank << bits | left) << bits | end)
+                    push(heap, rank << double | left << bits | end)
         ids, i = [], 0
         while i < n:
             rank = rank_of(piece[i : after[i]])
@@ -145,7 +144,7 @@ class Tokenizer:
             i = after[i]
         return ids
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: list[str]) -> None:
         for word in words:
             piece = word.encode()
             rank = self.rank(piece) if piece else None
@@ -154,12 +153,20 @@ class Tokenizer:
 
     def encode(self, text: str) -> np.ndarray:
         words = self.split(text)
-        new = set(words).difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
+        known, older, unseen = self.known, self.older, []
+        new = set(words).difference(known)
+        if len(known) + len(new) > REMEMBERED:
+            self.older = older = known
+            self.known = known = {}
             new = set(words)
-        self._learn(new)
-        return np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.int32)
+        for word in new:
+            ids = older.get(word)
+            if ids is None:
+                unseen.append(word)
+            else:
+                known[word] = ids
+        self._learn(unseen)
+        return np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32)
 
     def decode(self, ids: list[int]) -> bytes:
         try:
