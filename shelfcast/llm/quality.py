@@ -189,25 +189,30 @@ def compile_rules(m: Column, rules: tuple[Rule, ...] = RULES) -> list[tuple[str,
     return passed
 
 
-def assess(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, out: str = "quality") -> DataFrame:
-    """The input with one struct column: the measures, base_failed, failed rule names, kept."""
-    held = f"__{out}_measures"
-    measured = df.withColumn(held, measures(df[text]))
-    m = F.col(held)
+def verdict(m: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """A struct from the measures: these, base_failed, failed rule names, kept."""
     failed = F.filter(
         F.array(*[F.when(~ok, F.lit(name)) for name, ok in compile_rules(m, rules)]), lambda x: x.isNotNull()
     )
-    verdict = F.struct(
+    return F.struct(
         m.alias("measures"),
         base_failed(m).alias("base_failed"),
         failed.alias("failed"),
         (~base_failed(m) & (F.size(failed) == 0)).alias("kept"),
     )
-    return measured.withColumn(out, verdict).drop(held)
+
+
+def assess(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, out: str = "quality") -> DataFrame:
+    """The input with one struct column: the measures, base_failed, failed rule names, kept."""
+    held = f"__{out}_measures"
+    measured = df.withColumn(held, measures(df[text]))
+    return measured.withColumn(out, verdict(F.col(held), rules)).drop(held)
 
 
 def keep_good(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows that the base rule and every rule keep, with the columns they came with."""
-    names = df.columns
-    judged = assess(df, text, rules, out="__quality")
-    return judged.filter(F.col("__quality.kept")).select(*[F.col(f"`{c}`") for c in names])
+    """The rows that the base rule and every rule keep, with the columns they came with.
+
+    The condition is one expression that binds the measures: a filter on a computed column would be
+    pushed below it, with the measures written out again at each use.
+    """
+    return df.filter(bind(measures(df[text]), lambda m: verdict(m, rules)["kept"]))

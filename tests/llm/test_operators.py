@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from pathlib import Path
 
 import duckdb
 import public_tokenizers
@@ -65,6 +66,24 @@ def test_quality_of_odd_texts(spark):
     assert not got[4].base_failed and got[4].measures.n_repeat_words == 0
 
 
+def test_kept_rows_are_those_of_the_verdict(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = {r.doc_id for r in quality.keep_good(docs).select("doc_id").collect()}
+    assert kept == {r.doc_id for r in quality.assess(docs).filter("quality.kept").select("doc_id").collect()}
+    assert quality.keep_good(docs).columns == docs.columns
+
+
+def test_bpe_forgets_and_still_equals_tiktoken(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    raw = Path(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).read_bytes()
+    made = bpe.Tokenizer(raw, public_tokenizers.PATTERN)
+    known = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=made.by_bytes, special_tokens={})
+    for text in ["", "qzxv wrrtl", "qzxv hello wrrtl mnbvq zzkk qzxv", "\u00fcber qzxv \U0001f600", "a" * 5000, "qzxv"]:
+        ids = made.encode(text).tolist()
+        assert ids == known.encode_ordinary(text)
+        assert made.decode(ids) == text.encode()
+
+
 def test_bpe_equals_tiktoken_and_returns_the_text(spark):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     with open(path, "rb") as f:
