@@ -1,41 +1,53 @@
-"""Benchmark decontamination: latent semantic retrieval, then longest common subsequences.
+"""Benchmark decontamination: retrieval in a latent space and by rare words, then longest common subsequences.
 
 Inverse document frequencies of hashed words are counted over all documents. The
 benchmark's TF-IDF rows are factored by a distributed randomised SVD: Spark sums
 the row products of A'(A W) per word, and each power round is orthonormalised on
-the driver, on a matrix of at most FEATURES x RANK. Every window of every text is
-projected by prefix sums of its words' latent vectors and compared with every
-item by cosine (the norm counts all of a window's words). Candidates are confirmed
-by the longest common subsequence of item and text around the window, and by how
-much of the item's answer, its last quarter, is in that subsequence.
+the driver. The rank is the number of items, so the basis keeps each item whole.
+Every window of every text is compared with every item by cosine (the norm counts
+all of a window's words); a window is projected if the sum of its words' greatest
+weights in any item, which bounds its cosines, reaches the least cosine.
+
+Beside that, an exact path misses no pair: with all but `missing` words of an item
+in the subsequence, at least HITS of its missing + HITS rarest words are in one
+stretch of the text. Candidates of both paths are confirmed by the longest common
+subsequence of the item and a stretch of the text, and by how much of the item's
+answer, its last quarter, is in that subsequence. A stretch has as many words as
+the item, WINDOW at least, and WINDOW more.
 
 The benchmark is the stated query set. Its rows go to all tasks as one variable
-while it has at most MAX_ITEMS rows; a larger one is taken in blocks of that size.
+while it has at most MAX_ITEMS rows; a larger one is taken in blocks of about that
+size, each with a basis of its own.
 
 Defined results: null or empty texts and items match nothing; items with fewer
 than MIN_WORDS words are matched as whole runs of words only; a repeated item is
-reported under each of its ids; the best window of a pair counts.
+reported under each of its ids; the best stretch of a pair counts.
 """
 
 from __future__ import annotations
 
+import bisect
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.shipping import map_arrow
-from shelfcast.llm.words import blocks, mix
+from shelfcast.llm.words import blocks
 
 FEATURES = 1 << 16
-RANK = 64
 ROUNDS = 2
-MAX_ITEMS = 20_000
+MAX_ITEMS = 512
 WINDOW, STRIDE = 32, 8
 COSINE = 0.35
 LCS = 0.7
 ANSWER = 0.5
 MIN_WORDS = 4
+HITS = 3
+#: Windows projected at a time.
+PART = 2048
 
 _U = np.uint64
 
@@ -79,8 +91,9 @@ def _rows(column: pa.Array, idf: np.ndarray):
             yield used, values / max(np.linalg.norm(values), 1e-12)
 
 
-def latent_basis(items: DataFrame, idf: np.ndarray, rank: int = RANK, text: str = "text") -> np.ndarray:
-    """Orthonormal columns (FEATURES x rank) that span the leading right singular vectors of the items' rows."""
+def latent_basis(items: DataFrame, idf: np.ndarray, text: str = "text") -> np.ndarray:
+    """Orthonormal columns (FEATURES x number of items) that span the right singular vectors of the items' rows."""
+    rank = max(1, items.count())
     basis = np.random.default_rng(7).standard_normal((FEATURES, rank)).astype(np.float32)
     for _ in range(ROUNDS):
         sent = items.sparkSession.sparkContext.broadcast(basis)
@@ -100,11 +113,12 @@ def latent_basis(items: DataFrame, idf: np.ndarray, rank: int = RANK, text: str
 
         parts = map_arrow(items.select(F.col(f"`{text}`")), product, "f bigint, v array<double>")
         summed = parts.select("f", F.posexplode("v").alias("k", "x")).groupBy("f", "k").agg(F.sum("x").alias("x"))
-        image = np.zeros((FEATURES, rank))
-        for f, k, x in summed.toLocalIterator():
-            image[f, k] = x
-        left, strengths, _ = np.linalg.svd(image, full_matrices=False)
-        basis = np.where(strengths > 1e-9 * max(strengths.max(), 1e-300), left, 0).astype(np.float32)
+        rows = summed.groupBy("f").agg(F.array_sort(F.collect_list(F.struct("k", "x")))["x"].alias("v"))
+        sums = {f: np.array(v) for f, v in rows.toLocalIterator()}
+        basis = np.zeros((FEATURES, rank), np.float32)
+        if sums:
+            left, strengths, _ = np.linalg.svd(np.stack(list(sums.values())), full_matrices=False)
+            basis[list(sums), : left.shape[1]] = np.where(strengths > 1e-9 * max(strengths.max(), 1e-300), left, 0)
         sent.unpersist()
     return basis
 
@@ -127,69 +141,157 @@ def common_subsequence(a: list, b: list) -> list[int]:
     return places[::-1]
 
 
+def _needed(n: int) -> int:
+    """The least length of a common subsequence that has the share LCS of n words."""
+    return next(k for k in range(n + 1) if k / n >= LCS)
+
+
+def _ranges(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges, one range after the other, and where each range starts among them."""
+    sizes = ends - begins
+    starts = np.cumsum(sizes) - sizes
+    return np.arange(int(sizes.sum())) + np.repeat(begins - starts, sizes), starts
+
+
 class _Searcher:
-    def __init__(self, ids: list[int], column: pa.Array, idf: np.ndarray, basis: np.ndarray):
-        self.idf2 = (idf**2).astype(np.float32)
-        self.vectors = (basis * idf[:, None]).astype(np.float32)
-        rows = list(_rows(column, idf))
-        self.items = np.stack([values @ basis[used] for used, values in rows]).astype(np.float32)
-        self.ids, self.words = [], []
+    def __init__(self, ids: list[int], column: pa.Array, idf: np.ndarray, used: np.ndarray, basis: np.ndarray):
+        """`basis` holds the rows of the features `used`; all its other rows are 0."""
+        self.idf2 = idf**2
+        self.place = np.full(FEATURES, -1, np.int32)
+        self.place[used] = np.arange(len(used))
+        self.vectors = (basis * idf[used, None]).astype(np.float32)
+        self.idf, self.rows = idf, list(_rows(column, idf))
+        self.items = np.stack([values @ basis[self.place[f]] for f, values in self.rows]).astype(np.float32)
+        self.ids, self.words = ids, []
         for block in blocks(column):
             h = block.hashes()
             self.words += [h[a:b].tolist() for a, b in zip(block.first, block.last, strict=True)]
-        self.ids = ids
+        self.counts = [Counter(w) for w in self.words]
         self.tiny = {tuple(w): [] for w in self.words if 0 < len(w) < MIN_WORDS}
         for i, w in enumerate(self.words):
             if tuple(w) in self.tiny:
                 self.tiny[tuple(w)].append(i)
+        self.stretch = np.array([max(len(w), WINDOW) + WINDOW for w in self.words], np.int64)
+        self.hits = np.array([min(HITS, _needed(len(w))) if w else 0 for w in self.words], np.int64)
+        rare: dict[int, list[int]] = {}
+        for i, w in enumerate(self.words):
+            if len(w) >= MIN_WORDS:
+                order = sorted(w, key=lambda x: (-idf[x >> 48], x))
+                for x in set(order[: len(w) - _needed(len(w)) + int(self.hits[i])]):
+                    rare.setdefault(x, []).append(i)
+        self.keys = np.array(sorted(rare), _U)
+        self.listed = np.array([i for x in sorted(rare) for i in rare[x]], np.int64)
+        self.bounds = np.cumsum([0, *[len(rare[x]) for x in sorted(rare)]])
+        self.known = np.zeros(FEATURES, bool)
+        self.known[_features(self.keys)] = True
+        self.windows = [self.sought(WINDOW, STRIDE, [i for i, w in enumerate(self.words) if len(w) >= MIN_WORDS])]
+
+    def by_rare_words(self, block, hashes, f):
+        """(row, item, begin, end) of all places of the block where enough rare words of an item are near each other."""
+        at = np.flatnonzero(self.known[f])
+        if not len(at):
+            return
+        key = np.minimum(np.searchsorted(self.keys, hashes[at]), len(self.keys) - 1)
+        same = self.keys[key] == hashes[at]
+        at, key = at[same], key[same]
+        flat, _ = _ranges(self.bounds[key], self.bounds[key + 1])
+        item, at = self.listed[flat], np.repeat(at, self.bounds[key + 1] - self.bounds[key])
+        row = np.searchsorted(block.last, at, "right")
+        order = np.lexsort((at, item, row))
+        item, at, row = item[order], at[order], row[order]
+        last = np.arange(len(at)) + self.hits[item] - 1
+        ok = last < len(at)
+        first, last = np.flatnonzero(ok), last[ok]
+        ok = (row[first] == row[last]) & (item[first] == item[last]) & (at[last] - at[first] < self.stretch[item[first]])
+        first, last = first[ok], last[ok]
+        size = self.stretch[item[first]]
+        yield from zip(
+            row[first].tolist(), item[first].tolist(), (at[last] - size + 1).tolist(), (at[first] + size).tolist(), strict=True
+        )
+
+    def by_cosine(self, block, f):
+        """(row, item, begin, end) of the stretches around windows that are like an item."""
+        first, last = np.asarray(block.first, np.int64), np.asarray(block.last, np.int64)
+        place = self.place[f]
+        inside = np.flatnonzero(place >= 0)
+        mass, most_alike = np.zeros(len(f) + 1), np.zeros(len(f) + 1)
+        np.cumsum(self.idf2[f], out=mass[1:])
+        for window, stride, items, greatest in self.windows:
+            np.cumsum(greatest[f], out=most_alike[1:])
+            most = np.maximum(last - first - window, 0)
+            number = np.where(last > first, 1 + -(-most // stride), 0)
+            step, starts = _ranges(np.zeros_like(number), number)
+            rows = np.repeat(np.arange(len(first)), number)
+            begins = first[rows] + np.minimum(step * stride, most[rows])
+            ends = np.minimum(begins + window, last[rows])
+            norm = np.sqrt(np.maximum(mass[ends] - mass[begins], 1e-9))
+            likely = np.flatnonzero(most_alike[ends] - most_alike[begins] >= 0.999 * COSINE * norm)
+            low, high = np.searchsorted(inside, begins[likely]), np.searchsorted(inside, ends[likely])
+            likely, low, high = likely[high > low], low[high > low], high[high > low]
+            for k in range(0, len(likely), PART):
+                part = likely[k : k + PART]
+                flat, starts = _ranges(low[k : k + PART], high[k : k + PART])
+                image = np.add.reduceat(self.vectors[place[inside[flat]]], starts, axis=0)
+                cosine = image @ self.items[items].T
+                for w, i in zip(*np.nonzero(cosine >= COSINE * norm[part][:, None]), strict=True):
+                    w, item = part[w], int(items[i])
+                    size = max(len(self.words[item]), WINDOW)
+                    yield int(rows[w]), item, int(begins[w]) - size // 2, int(ends[w]) + size // 2
+
+    def sought(self, window: int, stride: int, items: list[int]) -> tuple[int, int, np.ndarray, np.ndarray]:
+        """(window, stride, items that are looked for with it, per feature the greatest addend to a cosine with one of them)."""
+        greatest = np.zeros(FEATURES)
+        for i in items:
+            f, values = self.rows[i]
+            greatest[f] = np.maximum(greatest[f], values * self.idf[f])
+        return window, stride, np.array(items, np.int64), greatest
+
+    def confirm(self, item: int, near: list[int]) -> tuple[float, float]:
+        """The greatest (share, answer share) of the item in a stretch of the words `near`."""
+        words, size, wanted = self.words[item], int(self.stretch[item]), self.counts[item]
+        best, needed = (0.0, 0.0), _needed(len(words))
+        at = [k for k, x in enumerate(near) if x in wanted]
+        if (wanted & Counter([near[k] for k in at])).total() < needed:
+            return best
+        cut = len(words) * 3 // 4
+        # A stretch may start at a word of the item; one that holds no word after the stretch before it is part of that.
+        reached = 0
+        for begin in at:
+            end = bisect.bisect_left(at, begin + size)
+            if end == reached:
+                continue
+            reached = end
+            kept = [x for x in near[begin : begin + size] if x in wanted]
+            if (wanted & Counter(kept)).total() < needed:
+                continue
+            places = common_subsequence(words, kept)
+            share = len(places) / len(words)
+            if share >= LCS:
+                best = max(best, (share, sum(p >= cut for p in places) / (len(words) - cut)))
+            if best[0] == 1.0:
+                break
+        return best
 
     def search(self, block):
-        """(row in block, item, share of the item, answer share) of confirmed pairs."""
+        """{(row in block, item): (share of the item, answer share)} of confirmed pairs."""
         hashes = block.hashes()
         f = _features(hashes)
-        vectors, weights = self.vectors[f], self.idf2[f]
-        sums = np.zeros((len(f) + 1, vectors.shape[1]), np.float32)
-        mass = np.zeros(len(f) + 1)
-        np.cumsum(weights, out=mass[1:])
-        begins, ends, rows = [], [], []
-        for row, (a, b) in enumerate(zip(block.first.tolist(), block.last.tolist(), strict=True)):
-            if b > a:
-                np.cumsum(vectors[a:b], axis=0, out=sums[a + 1 : b + 1])
-                at = np.arange(a, max(b - WINDOW, a) + STRIDE, STRIDE)
-                at = np.minimum(at, max(b - WINDOW, a))
-                begins.append(at)
-                ends.append(np.minimum(at + WINDOW, b))
-                rows.append(np.full(len(at), row))
-                # Windows are differences of prefix sums that start at the row's first word.
-                sums[a] = 0
-        if not begins:
-            return {}
-        begins, ends, rows = map(np.concatenate, (begins, ends, rows))
-        first = np.asarray(block.first)[rows]
-        low = np.where((begins == first)[:, None], 0, sums[begins])
-        window = sums[ends] - low
-        norm = np.sqrt(np.maximum(mass[ends] - mass[begins], 1e-9))
-        likely = np.flatnonzero(np.linalg.norm(window, axis=1) >= COSINE * norm)
+        areas: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for path in (self.by_rare_words(block, hashes, f), self.by_cosine(block, f)):
+            for row, item, begin, end in path:
+                areas.setdefault((row, item), []).append((max(begin, int(block.first[row])), min(end, int(block.last[row]))))
         found: dict[tuple[int, int], tuple[float, float]] = {}
-        for part in np.array_split(likely, max(1, len(likely) // 4096)):
-            cosine = window[part] @ self.items.T / norm[part][:, None]
-            for k, item in zip(*np.nonzero(cosine >= COSINE), strict=True):
-                w, item = part[k], int(item)
-                words = self.words[item]
-                key = (int(rows[w]), item)
-                if len(words) < MIN_WORDS or found.get(key, (0,))[0] == 1.0:
-                    continue
-                a, b = int(block.first[rows[w]]), int(block.last[rows[w]])
-                span = max(len(words), WINDOW)
-                near = hashes[max(a, int(begins[w]) - span // 2) : min(b, int(ends[w]) + span // 2)].tolist()
-                if len(set(words) & set(near)) < LCS * len(set(words)):
-                    continue
-                places = common_subsequence(words, near)
-                share = len(places) / len(words)
-                cut = len(words) * 3 // 4
-                answer = sum(p >= cut for p in places) / (len(words) - cut)
-                if share >= LCS and (share, answer) > found.get(key, (0.0, 0.0)):
-                    found[key] = (share, answer)
+        for (row, item), parts in areas.items():
+            parts.sort()
+            joined: list[list[int]] = []
+            for begin, end in parts:
+                if joined and begin <= joined[-1][1]:
+                    joined[-1][1] = max(joined[-1][1], end)
+                else:
+                    joined.append([begin, end])
+            best = max(self.confirm(item, hashes[begin:end].tolist()) for begin, end in joined)
+            if best[0] >= LCS:
+                found[row, item] = best
         if self.tiny:
             for row, (a, b) in enumerate(zip(block.first.tolist(), block.last.tolist(), strict=True)):
                 run = hashes[a:b].tolist()
@@ -203,16 +305,18 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str = "i
     """(doc_id, item_id, lcs_share, answer_share, leaked): confirmed pairs; leaked needs the answer's share too."""
     frequencies, n = document_frequencies(docs, text)
     idf = np.log((n + 1) / (frequencies + 1)) + 0.1
-    basis = latent_basis(items, idf, text=text)
     context = docs.sparkSession.sparkContext
     blocks_of = max(1, -(-items.count() // MAX_ITEMS))
     schema = "doc_id bigint, item_id bigint, lcs_share double, answer_share double"
     result = None
     for k in range(blocks_of):
-        part = items.filter(F.pmod(F.xxhash64(F.col(item)), F.lit(blocks_of)) == k).select(item, text).toArrow()
+        chosen = items.filter(F.pmod(F.xxhash64(F.col(item)), F.lit(blocks_of)) == k).select(item, text)
+        part = chosen.toArrow()
         if not part.num_rows:
             continue
-        sent = context.broadcast((part.column(0).to_pylist(), part.column(1).combine_chunks(), idf, basis))
+        basis = latent_basis(chosen, idf, text=text)
+        used = np.flatnonzero(basis.any(axis=1))
+        sent = context.broadcast((part.column(0).to_pylist(), part.column(1).combine_chunks(), idf, used, basis[used]))
 
         def search(batches, sent=sent):
             searcher = _Searcher(*sent.value)

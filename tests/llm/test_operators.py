@@ -118,6 +118,57 @@ def test_decontamination_finds_passages_and_paraphrases(spark):
     assert decontaminate.leaks(docs, items.filter("item_id < 0")).count() == 0
 
 
+@pytest.fixture(scope="module")
+def corpus(spark):
+    """Words of each text and item at sf0.1, and the leaks found there."""
+    docs, items = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "benchmark"))
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+    def words(rows):
+        return {i: re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(lower)) for i, t in rows}
+
+    found = decontaminate.leaks(docs.select("doc_id", "text"), items.select("item_id", "text")).collect()
+    texts = words(docs.select("doc_id", "text").collect())
+    return texts, words(items.select("item_id", "text").collect()), {(r.doc_id, r.item_id): r for r in found}
+
+
+def test_decontamination_finds_all_verbatim_copies(corpus):
+    texts, items, found = corpus
+    runs = {d: " " + " ".join(ws) + " " for d, ws in texts.items()}
+    copies = {(d, i) for i, ws in items.items() if ws for run in [" " + " ".join(ws) + " "] for d, t in runs.items() if run in t}
+    assert len(copies) > 200 and copies <= {pair for pair, r in found.items() if r.leaked and r.lcs_share == 1.0}
+
+
+def test_decontamination_finds_what_brute_force_finds(corpus):
+    texts, items, found = corpus
+    checked = list(items)[::20]
+    want = {}
+    for i in checked:
+        size, n = max(len(items[i]), 32) + 32, len(items[i])
+        known = set(items[i])
+        for d, ws in texts.items():
+            at = [k for k, w in enumerate(ws) if w in known]
+            for j, begin in enumerate(at):
+                if len({ws[k] for k in at[j : j + size] if k < begin + size}) < 0.7 * len(known) - 0.3 * (n - len(known)):
+                    continue
+                share = len(decontaminate.common_subsequence(items[i], ws[begin : begin + size])) / n
+                if share >= 0.7:
+                    want[d, i] = max(share, want.get((d, i), 0))
+    assert want and want == {pair: r.lcs_share for pair, r in found.items() if pair[1] in checked}
+
+
+def test_latent_basis_keeps_items_whole(spark):
+    import numpy as np
+
+    items = spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet").select("text")
+    frequencies, n = decontaminate.document_frequencies(items)
+    idf = np.log((n + 1) / (frequencies + 1)) + 0.1
+    basis = decontaminate.latent_basis(items, idf)
+    column = items.toArrow().column(0).combine_chunks()
+    kept = [np.linalg.norm(values @ basis[f]) ** 2 for f, values in decontaminate._rows(column, idf)]
+    assert len(kept) == 200 and min(kept) > 0.95
+
+
 def test_main_text(spark):
     page = (
         "<html><head><title>t</title><script>x<y</script></head><body><nav><a>Home</a></nav><div class=ad>buy this now please</div>"
