@@ -4,8 +4,9 @@ Inverse document frequencies of hashed words are counted over all documents. The
 benchmark's TF-IDF rows are factored by a distributed randomised SVD: Spark sums
 the row products of A'(A W) per word, and each power round is orthonormalised on
 the driver. The rank is the number of items, so the basis keeps each item whole.
-Every window of every text is compared with every item by cosine (the norm counts
-all of a window's words); a window is projected if the sum of its words' greatest
+Items are searched in bands by length, with windows of the least power of two that
+holds a band's items, a quarter of it apart. Every window of every text is compared
+with every item of its band by cosine (the norm counts all of a window's words); a window is projected if the sum of its words' greatest
 weights in any item, which bounds its cosines, reaches the least cosine.
 
 Beside that, an exact path misses no pair: with all but `missing` words of an item
@@ -13,7 +14,7 @@ in the subsequence, at least HITS of its missing + HITS rarest words are in one
 stretch of the text. Candidates of both paths are confirmed by the longest common
 subsequence of the item and a stretch of the text, and by how much of the item's
 answer, its last quarter, is in that subsequence. A stretch has as many words as
-the item, WINDOW at least, and WINDOW more.
+the item, LEAST at least, and LEAST more.
 
 The benchmark is the stated query set. Its rows go to all tasks as one variable
 while it has at most MAX_ITEMS rows; a larger one is taken in blocks of about that
@@ -40,7 +41,7 @@ from shelfcast.llm.words import blocks
 FEATURES = 1 << 16
 ROUNDS = 2
 MAX_ITEMS = 512
-WINDOW, STRIDE = 32, 8
+LEAST = 32
 COSINE = 0.35
 LCS = 0.7
 ANSWER = 0.5
@@ -171,7 +172,7 @@ class _Searcher:
         for i, w in enumerate(self.words):
             if tuple(w) in self.tiny:
                 self.tiny[tuple(w)].append(i)
-        self.stretch = np.array([max(len(w), WINDOW) + WINDOW for w in self.words], np.int64)
+        self.stretch = np.array([max(len(w), LEAST) + LEAST for w in self.words], np.int64)
         self.hits = np.array([min(HITS, _needed(len(w))) if w else 0 for w in self.words], np.int64)
         rare: dict[int, list[int]] = {}
         for i, w in enumerate(self.words):
@@ -184,7 +185,11 @@ class _Searcher:
         self.bounds = np.cumsum([0, *[len(rare[x]) for x in sorted(rare)]])
         self.known = np.zeros(FEATURES, bool)
         self.known[_features(self.keys)] = True
-        self.windows = [self.sought(WINDOW, STRIDE, [i for i, w in enumerate(self.words) if len(w) >= MIN_WORDS])]
+        bands: dict[int, list[int]] = {}
+        for i, w in enumerate(self.words):
+            if len(w) >= MIN_WORDS:
+                bands.setdefault(1 << (len(w) - 1).bit_length(), []).append(i)
+        self.windows = [self.sought(size, size // 4, bands[size]) for size in sorted(bands)]
 
     def by_rare_words(self, block, hashes, f):
         """(row, item, begin, end) of all places of the block where enough rare words of an item are near each other."""
@@ -235,7 +240,7 @@ class _Searcher:
                 cosine = image @ self.items[items].T
                 for w, i in zip(*np.nonzero(cosine >= COSINE * norm[part][:, None]), strict=True):
                     w, item = part[w], int(items[i])
-                    size = max(len(self.words[item]), WINDOW)
+                    size = max(len(self.words[item]), LEAST)
                     yield int(rows[w]), item, int(begins[w]) - size // 2, int(ends[w]) + size // 2
 
     def sought(self, window: int, stride: int, items: list[int]) -> tuple[int, int, np.ndarray, np.ndarray]:
@@ -254,22 +259,25 @@ class _Searcher:
         if (wanted & Counter([near[k] for k in at])).total() < needed:
             return best
         cut = len(words) * 3 // 4
-        # A stretch may start at a word of the item; one that holds no word after the stretch before it is part of that.
-        reached = 0
-        for begin in at:
-            end = bisect.bisect_left(at, begin + size)
-            if end == reached:
-                continue
-            reached = end
-            kept = [x for x in near[begin : begin + size] if x in wanted]
-            if (wanted & Counter(kept)).total() < needed:
+        # Places in `at` that bound the stretches from a word of the item on, without those that are part of the one before.
+        ends = [bisect.bisect_left(at, begin + size) for begin in at]
+        bounds = [(k, end) for k, end in enumerate(ends) if not k or end > ends[k - 1]]
+        # What several stretches cover bounds the shares of each of them.
+        todo = [(0, len(bounds) - 1)]
+        while todo and best[0] < 1.0:
+            low, high = todo.pop()
+            kept = [near[k] for k in at[bounds[low][0] : bounds[high][1]]]
+            if (wanted & Counter(kept)).total() < max(needed, best[0] * len(words) - 0.5):
                 continue
             places = common_subsequence(words, kept)
             share = len(places) / len(words)
-            if share >= LCS:
+            if share < LCS or share < best[0]:
+                continue
+            if low == high:
                 best = max(best, (share, sum(p >= cut for p in places) / (len(words) - cut)))
-            if best[0] == 1.0:
-                break
+            else:
+                middle = (low + high) // 2
+                todo += [(middle + 1, high), (low, middle)]
         return best
 
     def search(self, block):

@@ -169,6 +169,45 @@ def test_latent_basis_keeps_items_whole(spark):
     assert len(kept) == 200 and min(kept) > 0.95
 
 
+def test_decontamination_of_items_of_every_length():
+    """Each path alone finds verbatim copies, in filler of the items' own words."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    lengths = [4, 5, 8, 15, 60, 400, 800] * 2
+    items = [" ".join(rng.choice(4000, n, p=_falling(4000)).astype(str)) for n in lengths]
+    texts = [f"{' '.join(rng.choice(4000, 337 + i, p=_falling(4000)).astype(str))} {t} {LONG}" for i, t in enumerate(items)]
+    frequencies = np.zeros(decontaminate.FEATURES)
+    for block in decontaminate.blocks(pa.array(texts)):
+        f, row = decontaminate._features(block.hashes()), block.row_of_word()
+        for r in range(len(texts)):
+            frequencies[np.unique(f[row == r])] += 1
+    idf = np.log((len(texts) + 1) / (frequencies + 1)) + 0.1
+    rows = list(decontaminate._rows(pa.array(items), idf))
+    used = np.unique(np.concatenate([f for f, _ in rows]))
+    matrix = np.zeros((len(items), len(used)))
+    for i, (f, values) in enumerate(rows):
+        matrix[i, np.searchsorted(used, f)] = values
+    searcher = decontaminate._Searcher(list(range(len(items))), pa.array(items), idf, used, np.linalg.qr(matrix.T)[0])
+    found = {}
+    for block in decontaminate.blocks(pa.array(texts)):
+        hashes = block.hashes()
+        f = decontaminate._features(hashes)
+        for path in (searcher.by_rare_words(block, hashes, f), searcher.by_cosine(block, f)):
+            pairs = {(row, item) for row, item, _, _ in path}
+            assert {(i, i) for i in range(len(items)) if i in block.rows} <= {(block.rows.start + r, i) for r, i in pairs}
+        found.update({(block.rows.start + r, i): share for (r, i), (share, _) in searcher.search(block).items()})
+    assert all(found.get((i, i)) == 1.0 for i in range(len(items)))
+
+
+def _falling(n):
+    import numpy as np
+
+    p = 1 / np.arange(1, n + 1)
+    return p / p.sum()
+
+
 def test_main_text(spark):
     page = (
         "<html><head><title>t</title><script>x<y</script></head><body><nav><a>Home</a></nav><div class=ad>buy this now please</div>"
