@@ -253,6 +253,40 @@ def test_license_notices(spark):
     assert text[got[1][0].start : got[1][0].end].startswith("Licensed")
 
 
+@pytest.mark.parametrize(
+    ("text", "licenses"),
+    [
+        ("This corpus page was written by our team last year. Released under the MIT License. More of it follows here.", ["MIT"]),
+        ("# Licensed under the Apache\n# License, Version 2.0 (the\n# \"License\"); you may not use\n# this file except", ["Apache-2.0"]),
+        ("This work is licensed under\nthe GNU General Public License,\nversion 3.", ["GPL-3.0"]),
+        ("// SPDX-License-Identifier: MIT", ["MIT"]),
+        ("/* SPDX-License-Identifier: (GPL-3.0-or-later OR Apache-2.0) */", ["Apache-2.0", "GPL-3.0"]),
+        ("SPDX-License-Identifier: ISC", []),
+        ("Licensed under the ISC License.", []),
+        ("This work is licensed under the GNU General Public License, version 2.", []),
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", []),
+        ("Licensed under CC BY-SA 4.0.", []),
+        ("Licensed under CC BY-NC-SA 4.0.", []),
+        ("Licensed under CC BY 4.0.", ["CC-BY-4.0"]),
+        ("Licensed under CC BY 3.0.", []),
+        ("Licensed under the Apache License, Version 1.1.", []),
+        ("Code is licensed under the MIT License and data is licensed under CC BY-NC 4.0.", ["CC-BY-NC-4.0", "MIT"]),
+        ("The authors wrote about the MIT License at length", []),
+        ("It is made available under the terms of the MIT license", ["MIT"]),
+        ("Redistribution and use in source and binary forms, with or without modification, are permitted", []),
+    ],
+)
+def test_license_notices_in_any_place_and_by_name(text, licenses):
+    found = license_scan.notices(text)
+    assert sorted(n["license"] for n in found) == licenses
+    assert all(0 <= n["start"] < n["end"] <= len(text) and n["difference"] <= 0.2 for n in found)
+
+
+def test_license_templates_find_themselves():
+    for name, t in license_scan.TEMPLATES.items():
+        assert {n["license"] for n in license_scan.notices("words before it. " + t + " and after")} == {name}
+
+
 def test_base_spans_equal_plain_regexes(spark):
     rows = {r.doc_id: r for r in catalog.op8_secret_scans(spark, SF).collect()}
     rules = (
