@@ -31,7 +31,7 @@ SIDE_BY_SIDE = 16 * BLOCK_BYTES
 
 @dataclass(frozen=True)
 class Rule:
-    """`head` is followed by `tail` characters, `least` or more of them, then by `close`."""
+    """`head` is followed by `tail` characters, `least` or more of them, then by `close` and, as far as it goes, `body`."""
 
     kind: str
     head: str
@@ -40,10 +40,11 @@ class Rule:
     close: str = ""
     any_case: bool = False
     mark: str = ""
+    body: str = ""
 
     @property
     def pattern(self) -> str:
-        return f"{self.head}({self.tail}+){self.close}"
+        return f"{self.head}({self.tail}+){self.close}{self.body}"
 
     @property
     def marking(self) -> str:
@@ -55,12 +56,19 @@ class Rule:
         return self.mark or f"{self.head}{self.tail}{{{min(self.least, 4) if self.head else self.least}}}"
 
 
+#: From a key's first line to its last, or without that to the last line of base64 (header lines, escaped line ends and quote marks included).
+KEY_BODY = (
+    r"(?:(?:(?!-----BEGIN)[\s\S])*?-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+    r"""|(?:(?:\\[nrt]|[\s"'>|#*,])*(?:Proc-Type|DEK-Info|Version|Comment|Hash):(?:(?!\\n)[^\n])*)*"""
+    r"""(?:(?:\\[nrt]|[\s"'>|#*,])*[A-Za-z0-9+/]{16,}={0,2})*"""
+    r"""(?:[ \t"',]*(?:\\r)?(?:\r?\n|\\n)(?:\\[nrt]|[ \t"'>|#*,])*=?[A-Za-z0-9+/]+={0,2}(?=[ \t"',]*(?:\r?\n|\\[nr]|\Z)))*)"""
+)
 #: Fixed values of the first three kinds; the further ones are public token formats.
 RULES = (
     Rule("assign", r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?""", r"[A-Za-z0-9+/_.=\-]", 6, any_case=True),
     Rule("access", "AKIA", "[A-Z0-9]", 16),
     Rule("hex", "", "[0-9a-f]", 24),
-    Rule("private_key", "-----BEGIN", "[A-Z ]", 0, "PRIVATE KEY-----", mark="-----BEGIN"),
+    Rule("private_key", "-----BEGIN", "[A-Z0-9 ]", 0, "PRIVATE KEY(?: BLOCK)?-----", mark="-----BEGIN", body=KEY_BODY),
     Rule("jwt", r"eyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}\.", r"[A-Za-z0-9_\-]", 8, mark=r"eyJ[A-Za-z0-9_\-]{4}"),
     Rule("github", "gh[opsur]_", "[A-Za-z0-9]", 36),
     Rule("slack", r"xox[abprs]-", r"[A-Za-z0-9\-]", 10),
@@ -80,7 +88,8 @@ def automaton(rules: tuple[Rule, ...]) -> Automaton:
 
 @functools.lru_cache(maxsize=64)
 def _exact(rule: Rule) -> re.Pattern:
-    return re.compile(rule.pattern.replace("]+)", "]*)") .encode() if rule.least == 0 else rule.pattern.encode(), re.IGNORECASE if rule.any_case else 0)
+    pattern = rule.pattern.replace(f"({rule.tail}+)", f"({rule.tail}*)") if rule.least == 0 else rule.pattern
+    return re.compile(pattern.encode(), re.IGNORECASE if rule.any_case else 0)
 
 
 def spans_of(text: bytes, rules: tuple[Rule, ...], mask: int) -> list[tuple[int, int, int]]:

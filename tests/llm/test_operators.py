@@ -108,6 +108,25 @@ def test_secret_spans_and_redaction(spark):
     assert got[2].spans == [] and got[2].text is None and got[4].text == "clean text"
 
 
+def test_private_keys_go_whole(spark):
+    lines = [base64.b64encode(bytes(range(i, i + 48))).decode() for i in range(5)]
+    body = "\n".join([*lines, "AbC+/9=="])
+    head, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    texts = {
+        f"a\n{head}\n{body}\n{end}\nb": "a\n[secret]\nb",
+        f"a\n{head}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES,00\n\n{body}\nthen some prose": "a\n[secret]\nthen some prose",
+        f"a {head}\n{body}\n\nmore prose here {head}\n{body}\n{end} b": "a [secret]\n\nmore prose here [secret] b",
+        f'{{"key": "{head}{chr(92)}n{body.replace(chr(10), chr(92) + "n")}{chr(92)}n{end}"}}': '{"key": "[secret]"}',
+        f'{{"key": "{head}{chr(92)}n{body.replace(chr(10), chr(92) + "n")}{chr(92)}n", "x": 1}}': f'{{"key": "[secret]{chr(92)}n", "x": 1}}',
+        f"> {head}\r\n> {lines[0]}\r\n> {lines[1]}\r\nprose of two words": "> [secret]\r\nprose of two words",
+        f"{head} {lines[0]} {end}": "[secret]",
+        "-----BEGIN PRIVATE KEY-----": "[secret]",
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r.doc_id: r.text for r in secret_scan.redact(secret_scan.scan(df)).collect()}
+    assert got == dict(enumerate(texts.values()))
+
+
 def test_decontamination_finds_passages_and_paraphrases(spark):
     item = " ".join(f"q{i}" for i in range(40))
     changed = " ".join("z" if i in (5, 15) else f"q{i}" for i in range(40))
