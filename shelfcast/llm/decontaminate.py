@@ -12,8 +12,9 @@ weights in any item, which bounds its cosines, reaches the least cosine.
 Beside that, an exact path misses no pair: with all but `missing` words of an item
 in the subsequence, at least HITS of its missing + HITS rarest words are in one
 stretch of the text. Candidates of both paths are confirmed by the longest common
-subsequence of the item and a stretch of the text, and by how much of the item's
-answer, its last quarter, is in that subsequence. A stretch has as many words as
+subsequence of the item and a stretch of the text; whether that leaks the item is
+decided by how much of its answer, its last quarter, is in that subsequence. RUN
+words of an item in one piece leak it by themselves, at any share. A stretch has as many words as
 the item, LEAST at least, and LEAST more.
 
 The benchmark is the stated query set. Its rows go to all tasks as one variable
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.shipping import map_arrow
-from shelfcast.llm.words import blocks
+from shelfcast.llm.words import blocks, mix
 
 FEATURES = 1 << 16
 ROUNDS = 2
@@ -47,6 +48,7 @@ LCS = 0.7
 ANSWER = 0.5
 MIN_WORDS = 4
 HITS = 3
+RUN = 13
 #: Windows projected at a time.
 PART = 2048
 
@@ -154,6 +156,15 @@ def _ranges(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.arange(int(sizes.sum())) + np.repeat(begins - starts, sizes), starts
 
 
+def _runs(hashes: np.ndarray) -> np.ndarray:
+    """A hash of every run of RUN words."""
+    total = max(0, len(hashes) - RUN + 1)
+    out = np.zeros(total, _U)
+    for j in range(RUN):
+        out = out * _U(0x9E3779B97F4A7C15) + hashes[j : j + total]
+    return mix(out)
+
+
 class _Searcher:
     def __init__(self, ids: list[int], column: pa.Array, idf: np.ndarray, used: np.ndarray, basis: np.ndarray):
         """`basis` holds the rows of the features `used`; all its other rows are 0."""
@@ -185,6 +196,12 @@ class _Searcher:
         self.bounds = np.cumsum([0, *[len(rare[x]) for x in sorted(rare)]])
         self.known = np.zeros(FEATURES, bool)
         self.known[_features(self.keys)] = True
+        self.runs: dict[int, list[tuple[int, int]]] = {}
+        for i, w in enumerate(self.words):
+            for k, run in enumerate(_runs(np.array(w, _U)).tolist()):
+                self.runs.setdefault(run, []).append((i, k))
+        self.run_known = np.zeros(FEATURES, bool)
+        self.run_known[_features(np.array(list(self.runs), _U))] = True
         bands: dict[int, list[int]] = {}
         for i, w in enumerate(self.words):
             if len(w) >= MIN_WORDS:
@@ -214,6 +231,16 @@ class _Searcher:
             row[first].tolist(), item[first].tolist(), (at[last] - size + 1).tolist(), (at[first] + size).tolist(), strict=True
         )
 
+    def by_runs(self, block, hashes):
+        """(row, item, begin, end) of the stretches around RUN words of an item in one piece."""
+        runs = _runs(hashes)
+        for at in np.flatnonzero(self.run_known[_features(runs)]).tolist():
+            row = int(np.searchsorted(block.last, at, "right"))
+            for item, k in self.runs.get(int(runs[at]), ()):
+                if at + RUN <= block.last[row] and hashes[at : at + RUN].tolist() == self.words[item][k : k + RUN]:
+                    size = int(self.stretch[item])
+                    yield row, item, at + RUN - size, at + size
+
     def by_cosine(self, block, f):
         """(row, item, begin, end) of the stretches around windows that are like an item."""
         first, last = np.asarray(block.first, np.int64), np.asarray(block.last, np.int64)
@@ -251,10 +278,10 @@ class _Searcher:
             greatest[f] = np.maximum(greatest[f], values * self.idf[f])
         return window, stride, np.array(items, np.int64), greatest
 
-    def confirm(self, item: int, near: list[int]) -> tuple[float, float]:
-        """The greatest (share, answer share) of the item in a stretch of the words `near`."""
+    def confirm(self, item: int, near: list[int], needed: int) -> tuple[float, float]:
+        """The greatest (share, answer share) of the item in a stretch of the words `near`, with `needed` words at least."""
         words, size, wanted = self.words[item], int(self.stretch[item]), self.counts[item]
-        best, needed = (0.0, 0.0), _needed(len(words))
+        best = (0.0, 0.0)
         at = [k for k, x in enumerate(near) if x in wanted]
         if (wanted & Counter([near[k] for k in at])).total() < needed:
             return best
@@ -271,7 +298,7 @@ class _Searcher:
                 continue
             places = common_subsequence(words, kept)
             share = len(places) / len(words)
-            if share < LCS or share < best[0]:
+            if len(places) < needed or share < best[0]:
                 continue
             if low == high:
                 best = max(best, (share, sum(p >= cut for p in places) / (len(words) - cut)))
@@ -281,14 +308,16 @@ class _Searcher:
         return best
 
     def search(self, block):
-        """{(row in block, item): (share of the item, answer share)} of confirmed pairs."""
+        """{(row in block, item): (share of the item, answer share, leaked)} of confirmed pairs."""
         hashes = block.hashes()
         f = _features(hashes)
         areas: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        for path in (self.by_rare_words(block, hashes, f), self.by_cosine(block, f)):
+        runs = list(self.by_runs(block, hashes))
+        whole = {(row, item) for row, item, _, _ in runs}
+        for path in (runs, self.by_rare_words(block, hashes, f), self.by_cosine(block, f)):
             for row, item, begin, end in path:
                 areas.setdefault((row, item), []).append((max(begin, int(block.first[row])), min(end, int(block.last[row]))))
-        found: dict[tuple[int, int], tuple[float, float]] = {}
+        found: dict[tuple[int, int], tuple[float, float, bool]] = {}
         for (row, item), parts in areas.items():
             parts.sort()
             joined: list[list[int]] = []
@@ -297,25 +326,27 @@ class _Searcher:
                     joined[-1][1] = max(joined[-1][1], end)
                 else:
                     joined.append([begin, end])
-            best = max(self.confirm(item, hashes[begin:end].tolist()) for begin, end in joined)
-            if best[0] >= LCS:
-                found[row, item] = best
+            run, needed = (row, item) in whole, _needed(len(self.words[item]))
+            least = min(RUN, needed) if run else needed
+            share, answer = max(self.confirm(item, hashes[begin:end].tolist(), least) for begin, end in joined)
+            if share >= LCS or run:
+                found[row, item] = (share, answer, run or answer >= ANSWER)
         if self.tiny:
             for row, (a, b) in enumerate(zip(block.first.tolist(), block.last.tolist(), strict=True)):
                 run = hashes[a:b].tolist()
                 for words, items in self.tiny.items():
                     if any(tuple(run[i : i + len(words)]) == words for i in range(len(run) - len(words) + 1)):
-                        found.update({(row, i): (1.0, 1.0) for i in items})
+                        found.update({(row, i): (1.0, 1.0, True) for i in items})
         return found
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str = "item_id", text: str = "text") -> DataFrame:
-    """(doc_id, item_id, lcs_share, answer_share, leaked): confirmed pairs; leaked needs the answer's share too."""
+    """(doc_id, item_id, lcs_share, answer_share, leaked): confirmed pairs; leaked needs the answer's share or RUN words in one piece."""
     frequencies, n = document_frequencies(docs, text)
     idf = np.log((n + 1) / (frequencies + 1)) + 0.1
     context = docs.sparkSession.sparkContext
     blocks_of = max(1, -(-items.count() // MAX_ITEMS))
-    schema = "doc_id bigint, item_id bigint, lcs_share double, answer_share double"
+    schema = "doc_id bigint, item_id bigint, lcs_share double, answer_share double, leaked boolean"
     result = None
     for k in range(blocks_of):
         chosen = items.filter(F.pmod(F.xxhash64(F.col(item)), F.lit(blocks_of)) == k).select(item, text)
@@ -331,13 +362,13 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str = "i
             for batch in batches:
                 ids, out = batch.column(0).to_pylist(), []
                 for block in blocks(batch.column(1)):
-                    for (row, i), (share, answer) in searcher.search(block).items():
-                        out.append((ids[block.rows.start + row], searcher.ids[i], share, answer))
+                    for (row, i), judged in searcher.search(block).items():
+                        out.append((ids[block.rows.start + row], searcher.ids[i], *judged))
                 if out:
                     columns = zip(*out, strict=True)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64(), pa.float64()), strict=True)],
-                        ["doc_id", "item_id", "lcs_share", "answer_share"],
+                        [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_()), strict=True)],
+                        ["doc_id", "item_id", "lcs_share", "answer_share", "leaked"],
                     )
 
         rows = docs.select(F.col(f"`{key}`").cast("bigint"), F.col(f"`{text}`"))
@@ -345,7 +376,7 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str = "i
         result = found if result is None else result.unionByName(found)
     if result is None:
         result = docs.sparkSession.createDataFrame([], schema)
-    return result.distinct().withColumn("leaked", F.col("answer_share") >= ANSWER)
+    return result.distinct()
 
 
 def drop_leaked(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -216,7 +216,7 @@ def test_decontamination_of_items_of_every_length():
         for path in (searcher.by_rare_words(block, hashes, f), searcher.by_cosine(block, f)):
             pairs = {(row, item) for row, item, _, _ in path}
             assert {(i, i) for i in range(len(items)) if i in block.rows} <= {(block.rows.start + r, i) for r, i in pairs}
-        found.update({(block.rows.start + r, i): share for (r, i), (share, _) in searcher.search(block).items()})
+        found.update({(block.rows.start + r, i): share for (r, i), (share, *_) in searcher.search(block).items()})
     assert all(found.get((i, i)) == 1.0 for i in range(len(items)))
 
 
@@ -227,6 +227,18 @@ def _falling(n):
     return p / p.sum()
 
 
+def test_long_runs_of_an_item_leak_it_without_the_answer(spark):
+    words = [f"q{i}" for i in range(56)]
+    scattered = " ".join(w for i, w in enumerate(words[:44]) if i % 13 != 5)
+    texts = [" ".join(words[:42]), " ".join(words[10:40]), " ".join(words[20:32]), scattered, " ".join(words[:13])]
+    docs = spark.createDataFrame([(i, f"{LONG} {t} {LONG}") for i, t in enumerate(texts)], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, " ".join(words))], "item_id bigint, text string")
+    got = {r.doc_id: r for r in decontaminate.leaks(docs, items).collect()}
+    assert {i: r.leaked for i, r in got.items()} == {0: True, 1: True, 3: False, 4: True}
+    assert got[0].lcs_share == 0.75 and got[0].answer_share == 0 and got[1].lcs_share == pytest.approx(30 / 56)
+    assert {r.doc_id for r in decontaminate.drop_leaked(docs, items).collect()} == {2, 3}
+
+
 def test_main_text(spark):
     page = (
         "<html><head><title>t</title><script>x<y</script></head><body><nav><a>Home</a></nav><div class=ad>buy this now please</div>"
