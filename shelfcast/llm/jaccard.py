@@ -362,6 +362,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group: the one with the smallest id; every column stays."""
-    kept = near_duplicates(docs, key, text).filter("doc_id = component_id").select(F.col("doc_id").alias("__kept"))
-    return docs.join(kept.distinct(), docs[key] == F.col("__kept"), "left_semi")
+    """One document of each group: the one with the smallest id; every column stays.
+
+    Rows without an id belong to no group and all stay. Of rows with equal id and text one stays; unlike texts under
+    one id are not taken for repetitions.
+    """
+    named = docs.where(F.col(f"`{key}`").isNotNull())
+    kept = near_duplicates(named, key, text).filter("doc_id = component_id").select(F.col("doc_id").alias("__kept"))
+    first = named.join(kept.distinct(), named[key] == F.col("__kept"), "left_semi").dropDuplicates([key, text])
+    return first.unionByName(docs.where(F.col(f"`{key}`").isNull()))

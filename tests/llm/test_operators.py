@@ -32,6 +32,16 @@ def test_near_duplicates_link_copies_and_near_copies_only(docs):
     assert got[4][0] == got[5][0] == got[8][0] == 0 and got[6][0] == 1 and got[1][0] == 396
 
 
+def test_keep_first_keeps_rows_without_id_and_one_of_repeated_rows(spark, docs):
+    more = [(None, "no id here"), (None, LONG), (6, "few words"), (9, "other " * 80), (9, "other " * 80), (10, None), (10, None), (10, "an unlike text")]
+    rows = docs.unionByName(spark.createDataFrame(more, "doc_id bigint, text string")).selectExpr("text", "doc_id", "length(text) as n")
+    got = jaccard.keep_first(rows)
+    assert got.columns == rows.columns
+    assert sorted((r.doc_id or 0, r.n or 0) for r in got.collect()) == sorted(
+        [(0, 10), (0, len(LONG)), (1, len(LONG)), (4, 0), (5, 0), (6, 9), (8, 2), (9, 480), (10, 0), (10, 14)]
+    )
+
+
 def test_near_duplicates_of_an_empty_table(docs):
     assert jaccard.near_duplicates(docs.filter("doc_id < 0")).count() == 0
 
