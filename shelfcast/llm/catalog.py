@@ -8,7 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bpe, decontaminate, html_extract, jaccard, kneser_ney, langid, license_scan, lm, quality, secret_scan, sql
+from shelfcast.llm import (
+    align,
+    bpe,
+    decontaminate,
+    html_extract,
+    jaccard,
+    kneser_ney,
+    langid,
+    license_scan,
+    lm,
+    periodic,
+    quality,
+    secret_scan,
+    sql,
+    token_count,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,6 +125,49 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    files = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    found = align.align_texts(docs, *files, public_tokenizers.PATTERN)
+    return align.measures(docs, found, ["doc_id"]).withColumnRenamed("groups", "groups_sha256")
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Ids and texts; where the id's checksum divides by ten, the words from some place on repeat in a period."""
+    sums = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    cut = sums.select("doc_id", "text", F.expr("h div 10").alias("g"), F.when(F.col("h") % 10 == 0, words).alias("words"))
+    placed = cut.select("*", F.expr("if(size(words) > 0, g % size(words), null)").alias("a"))
+    placed = placed.select("*", F.expr("1 + (size(words) - a) div (3 + g % 8)").alias("p"))
+    repeated = "transform(words, (w, i) -> if(i < a, w, words[cast(a + (i - a) % p as int)]))"
+    return placed.select("doc_id", F.expr(f"if(words is null, text, array_join({repeated}, ' '))").alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_runs(table(spark, sf_dir, "documents"))
+    found = periodic.detect(docs, out="text").select("doc_id", "text.*")
+    runs = F.col("runs")
+    # The runs come by start and period, so the first of several with the same exponent stays.
+    best = F.aggregate(runs, F.get(runs, 0), lambda x, y: F.when(y["length"] * x["period"] > x["length"] * y["period"], y).otherwise(x))
+    line = F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select("doc_id", "n_words", "runs", "collapsed", best.alias("best"), F.array_join(line, "").alias("lines")).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.col("lines").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    sized = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"), F.col("text").alias("n_tokens"))
+    counted = token_count.count_tokens(sized, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, "n_tokens", "n_tokens")
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_quality_rules": op2_quality_rules,
@@ -121,6 +179,9 @@ QUERIES: dict[str, Query] = {
     "op8_secret_scans": op8_secret_scans,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_license_scans": op10_license_scans,
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_token_counts": op13_token_counts,
 }
 
 ORACLES: dict[str, str] = {
