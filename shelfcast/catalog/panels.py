@@ -106,6 +106,30 @@ def brand_with_covariates(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def weekday_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Weekday sales per brand with item features from its number and groups of the day's orders."""
+    number = F.substring("unique_id", 7, 2)
+    daily = (
+        sold(spark, sf)
+        .where(F.weekday("date") < 5)
+        .groupBy(F.col("p_brand").alias("unique_id"), "date")
+        .agg(
+            F.sum("l_quantity").alias("y"),
+            F.max("l_returnflag").alias("ProteinGroup"),
+            F.max("l_linestatus").alias("VegetablesGroup"),
+            F.min("l_returnflag").alias("StarchGroup"),
+        )
+    )
+    return daily.withColumns(
+        {
+            "School": F.concat(F.lit("S"), F.substring(number, 1, 1)),
+            "Size": F.concat(F.lit("M"), F.substring(number, 2, 1)),
+            "Type": F.when(F.substring(number, 2, 1) < "3", "warm").otherwise("cold"),
+            "Customer": F.col("unique_id"),
+        }
+    )
+
+
 def day_class(spark: SparkSession, sf: str) -> DataFrame:
     """one class per order date."""
     return (

@@ -97,6 +97,9 @@ class ModelConfig:
     lag_transforms: tuple[LagTransform, ...] = ()
     scale: bool = True
     covariates: tuple[str, ...] = ()
+    static_features: tuple[str, ...] = ()
+    categorical: tuple[str, ...] = ()
+    transforms: tuple = ()
     benchmarks: tuple[str, ...] = ("SeasonalNaive",)
     fit_benchmarks: bool = True
     ensemble: bool = False
@@ -171,6 +174,9 @@ WEEKDAY_ORDERS = Profile(
         lags=15,
         loss="fair",
         date_features=("dayofweek",),
+        covariates=("ProteinGroup", "VegetablesGroup", "StarchGroup"),
+        static_features=("School", "Size", "Type", "Customer"),
+        categorical=("ProteinGroup", "VegetablesGroup", "StarchGroup", "School", "Size", "Type", "Customer"),
         benchmarks=("SeasonalNaive", "SeasonalWindowAverage"),
         trees=570,
         depth=12,

@@ -147,8 +147,13 @@ def category_codes(df: DataFrame, column: str) -> DataFrame:
     return with_rank(values, [F.col(column).asc()], "code").withColumn("code", (F.col("code") - 1).cast("int"))
 
 
-def categorise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Each column replaced by its category code; a missing value has code -1."""
+def categorise(df: DataFrame, columns: Sequence[str], as_number: Sequence[str] = ("Holiday",)) -> DataFrame:
+    """Each column replaced by its category code; a missing value has code -1.
+
+    The columns named in `as_number` are read as numbers first, so that two
+    spellings of one number are one category and the codes follow the numbers.
+    """
+    df = df.withColumns({c: F.col(c).try_cast("double") for c in columns if c in as_number})
     out = df
     for column in columns:
         codes = category_codes(df, column).withColumnRenamed("code", "_code")

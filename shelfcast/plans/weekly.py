@@ -34,8 +34,14 @@ def run_decision(
     return facts.select(due.alias("forecast"), (~due & arrived & (F.col("known") == 0)).alias("score"))
 
 
-def preprocess(raw: DataFrame, profile: Profile, filter_dates: bool = True) -> DataFrame:
-    """Calendar fill, covariate fill and coding, warm-up cut, in this order."""
+def preprocess(
+    raw: DataFrame, profile: Profile, filter_dates: bool = True, future: DataFrame | None = None
+) -> DataFrame:
+    """Calendar fill, covariate fill and coding, warm-up cut, in this order.
+
+    Rows of `future`, which bring covariates of later dates, are filled and
+    coded along with the history, so that codes agree; their y stays null.
+    """
     settings = profile.forecast
     groups = {
         "item_covars": [c for c in settings.item_covars if c in raw.columns],
@@ -47,6 +53,11 @@ def preprocess(raw: DataFrame, profile: Profile, filter_dates: bool = True) -> D
     rows = panel.fill_calendar(
         raw, covars=covars, business_days=settings.remove_weekends, span=span
     )
+    if future is not None:
+        later = future.where(F.col(DATE) > F.lit(span[1])).select(ID, DATE, *[c for c in covars if c in future.columns])
+        if settings.remove_weekends:
+            later = later.where(F.weekday(DATE) < 5)
+        rows = rows.unionByName(later, allowMissingColumns=True)
     if covars:
         rows = panel.fill_most_frequent(rows, **groups)
         rows = features.categorise(rows, features.categorical_columns(rows))
@@ -55,17 +66,26 @@ def preprocess(raw: DataFrame, profile: Profile, filter_dates: bool = True) -> D
     return panel.drop_first_dates(rows, settings.warm_up, span, settings.remove_weekends)
 
 
-def forecast_week(prepared: DataFrame, profile: Profile, seasonal_window: int = 4) -> DataFrame:
+def split_future(prepared: DataFrame, last) -> tuple[DataFrame, DataFrame]:
+    """The prepared history, and the covariates of later dates."""
+    return prepared.where(F.col(DATE) <= F.lit(last)), prepared.where(F.col(DATE) > F.lit(last)).drop("y")
+
+
+def forecast_week(
+    prepared: DataFrame, profile: Profile, seasonal_window: int = 4, future: DataFrame | None = None
+) -> DataFrame:
     """Global model and benchmarks beyond the data, stacked.
 
-    The benchmarks use every series, the global model those with enough history.
+    The benchmarks use every series, the global model those with enough history
+    and, if its settings name covariates, with rows in `future`.
     """
     settings, model = profile.forecast, profile.model
     last = panel.date_span(prepared)[1]
     cutoffs = F.array(F.lit(last))
-    trained = panel.with_min_history(prepared, model.lags)
+    trained = panel.with_min_history(prepared, globalmodel.depth(model))
     fitted = globalmodel.fit(trained, model)
-    predicted = globalmodel.predict(fitted, trained, settings.h, last, settings.freq)
+    ahead = future if model.covariates else None
+    predicted = globalmodel.predict(fitted, trained, settings.h, last, settings.freq, ahead)
     tables = predicted.select(ID, DATE, "Model", "y", "fh")
     if model.fit_benchmarks:
         simple = benchmark_forecasts(
@@ -82,11 +102,16 @@ def forecast_week(prepared: DataFrame, profile: Profile, seasonal_window: int =
 
 
 def publish_week(
-    raw: DataFrame, profile: Profile, update: DataFrame | None = None
+    raw: DataFrame, profile: Profile, update: DataFrame | None = None, future: DataFrame | None = None
 ) -> DataFrame:
-    """The published forecast table, with truth where the new sales cover its dates."""
-    prepared = durable(preprocess(raw, profile))  # read by every fit and forecast
-    forecasts = durable(forecast_week(prepared, profile))  # small; used four times below
+    """The published forecast table, with truth where the new sales cover its dates.
+
+    `future` holds the covariates of the forecast days, for models that use some.
+    """
+    last = panel.date_span(raw)[1]
+    prepared = durable(preprocess(raw, profile, future=future))  # read by every fit and forecast
+    history, ahead = split_future(prepared, last)
+    forecasts = durable(forecast_week(history, profile, future=ahead if future is not None else None))
     published = publish.postprocess(
         forecasts, profile.labels, globalmodel.NAME, ensemble=profile.model.ensemble
     )

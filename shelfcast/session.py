@@ -24,6 +24,7 @@ def build_session(app: str = "shelfcast", master: str | None = None, **conf: str
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.scheduler.mode": "FAIR",
         **conf,
     }
     for key, value in settings.items():
