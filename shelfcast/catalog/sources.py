@@ -282,3 +282,59 @@ def st2_score_arrivals(spark, sf):
         )
         running.awaitTermination()
     return rounded(spark.read.parquet(scores))
+
+
+@query(
+    "st3_weekly_cycle",
+    """with c as (select cast((select max(date) from f1) - cast(k as int) as date) as forecast
+                 from (values (21), (14), (10), (7)) t(k)),
+       x as (select forecast, unique_id, date, y from c, filled where date <= forecast),
+       p as (select forecast, unique_id, cast(forecast + fh as date) as date, 'SeasonalNaive' as Model, y
+             from x, steps where date = forecast - 7 + fh
+             union all
+             select forecast, unique_id, cast(forecast + fh as date), 'SeasonalWindowAverage', avg(y)
+             from x, steps, range(1, 5) t(j) where date = forecast - cast(7 * j as int) + fh group by 1, 2, 3, fh),
+       a as (select unique_id, date, case when date = (select max(date) from f1) - 18 then 2 * y else y end as y from filled),
+       v as (select x.forecast, x.unique_id, x.date, case when x.forecast > (select max(date) from f1) - 14 then a.y else x.y end as y
+             from x join a on x.unique_id = a.unique_id and x.date = a.date),
+       s as (select forecast, unique_id, avg(d * d) as m from
+              (select forecast, unique_id, y - lag(y) over (partition by forecast, unique_id order by date) as d from v) group by 1, 2)
+       select p.unique_id, Model, 1 as cv, cast(p.forecast + 7 as date) as date, p.forecast, true as complete,
+              round(case when any_value(m) = 0 then 0 else sqrt(avg((p.y - a.y) * (p.y - a.y)) / any_value(m)) end, 6) as rmsse,
+              round(avg(abs(p.y - a.y)), 6) as mae, round(avg(p.y - a.y), 6) as bias
+       from p join a on p.unique_id = a.unique_id and p.date = a.date
+       join s on p.unique_id = s.unique_id and p.forecast = s.forecast group by 1, 2, p.forecast""",
+)
+def st3_weekly_cycle(spark, sf):
+    """Five turns over the whole history: a backlog, a week, a week in two files, a week with a late correction."""
+    from datetime import timedelta
+
+    from shelfcast.streaming import cycle
+
+    first, last = p.span(spark, sf)
+    sales = p.brand_sales(spark, sf).persist()
+    folder, store = staging_path(spark, "landing"), cycle.Store(staging_path(spark, "cycle"))
+
+    def land(start, end, rows=None):
+        """Sales after `start` up to `end` as the file of that day."""
+        name = (last - timedelta(days=end)).strftime("%d%m%y")
+        days = (F.date_sub(F.lit(last), start), F.date_sub(F.lit(last), end))
+        chosen = sales.where((F.col("date") > days[0]) & (F.col("date") <= days[1])) if rows is None else rows
+        chosen.write.csv(f"{folder}/{name}.csv", header=True)
+
+    def make(sold):
+        newest = sold.agg(F.max("date").alias("d")).first()["d"]
+        recent = panel.fill_calendar(sold, span=(first, newest), since=newest - timedelta(days=27))
+        chosen = (models.SEASONAL_NAIVE, models.SEASONAL_WINDOW_AVERAGE)
+        return models.window_forecasts(
+            recent, F.array(F.lit(newest)), p.H, season=p.SEASON, models=chosen, seasonal_window=p.SEASONAL_WINDOW
+        )
+
+    corrected = sales.where(F.col("date") == F.date_sub(F.lit(last), 18)).withColumn("y", 2 * F.col("y"))
+    turns = [[((last - first).days + 1, 21)], [(21, 14)], [(14, 10)], [(10, 7)], [(7, 0), (0, -1, corrected)]]
+    for files_of_turn in turns:
+        for arrival in files_of_turn:
+            land(*arrival)
+        cycle.run(spark, store, folder, make)
+    sales.unpersist()
+    return rounded(cycle.scores(spark, store))
