@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from shelfcast.catalog import panels as p
 from shelfcast.catalog.registry import query, rounded
-from shelfcast.operators import intervals, models, panel, smoothing
+from shelfcast.config import SearchSpace
+from shelfcast.operators import intervals, models, smoothing
 
 Z80, Z95 = NormalDist().inv_cdf(0.9), NormalDist().inv_cdf(0.975)
 
@@ -77,9 +78,9 @@ def _croston_sql(label: str, factor: float) -> str:
 
 
 def _croston(spark, sf, variant):
-    days = p.span(spark, sf)
-    rows = panel.fill_calendar(p.supplier_sales(spark, sf), span=days)
-    return rounded(smoothing.croston(rows, F.array(F.lit(days[1])), p.H, variant))
+    first, last = p.span(spark, sf)
+    rows = p.supplier_sales(spark, sf)
+    return rounded(smoothing.croston(rows, F.array(F.lit(last)), p.H, variant, start=F.lit(first)))
 
 
 @query("m5_croston", _croston_sql("CrostonClassic", 1.0))
@@ -297,9 +298,20 @@ def m19_residuals(spark, sf):
     return models.one_step_residuals(p.filled(spark, sf), models.SEASONAL_NAIVE, season=p.SEASON)
 
 
-@query("m19_ses_residuals")
+@query(
+    "m19_ses_residuals",
+    """with recursive n as (select unique_id, date, y, row_number() over (partition by unique_id order by date) as i from filled),
+       l as (select unique_id, date, cast(null as date) as cutoff, y, cast(null as double) as y_pred, y as level, i from n where i = 1
+             union all
+             select n.unique_id, n.date, l.date, n.y, l.level, 0.3 * n.y + 0.7 * l.level, n.i
+             from l join n on n.unique_id = l.unique_id and n.i = l.i + 1)
+       select unique_id, date, cutoff, y as y_true, round(y_pred, 6) as y_pred, 'SES' as Model,
+              round(y - y_pred, 6) as residual, 1 as fh, cast(i - 1 as int) as cv from l where i > 1""",
+)
 def m19_ses_residuals(spark, sf):
-    return rounded(smoothing.ses_residuals(p.filled(spark, sf), 0.3))
+    days = p.span(spark, sf)
+    n_blocks = (days[1] - days[0]).days // smoothing.BLOCK + 2
+    return rounded(smoothing.ses_residuals(p.filled(spark, sf, days), 0.3, n_blocks))
 
 
 @query(
@@ -336,6 +348,79 @@ def m24_candidate_grid(spark, sf):
     return rounded(found)
 
 
+def _candidates_sql(space: SearchSpace) -> str:
+    """The candidate table of a search space."""
+    parts = []
+    for family, r in space.ranges:
+        count = int(round((r.high - r.low) / r.step)) + 1
+        kept = f"qualify row_number() over (order by md5('{space.seed}:{family}:' || k)) <= {r.sample}" if r.sample else ""
+        parts.append(
+            f"""(select '{family}' as family, cast(k as int) as number,
+                  round({float(r.low)}::double + k * {float(r.step)}::double, 10) as parameter from range({count}) t(k) {kept})"""
+        )
+    return " union all ".join(parts)
+
+
+@query("m24_candidate_table", _candidates_sql(SearchSpace()))
+def m24_candidate_table(spark, sf):
+    from shelfcast.plans.study import candidate_table
+
+    return candidate_table(spark, SearchSpace())
+
+
+@query(
+    "m24_candidate_search",
+    f"""with cand as ({_candidates_sql(SearchSpace())}),
+       n as (select *, row_number() over (partition by unique_id order by date) as pos from filled),
+       x as (select n.*, cutoff from n join cuts on date <= cutoff),
+       lists as (select unique_id, cutoff, list(y order by date) as ys, regr_slope(y, pos - 1) as b,
+                        regr_intercept(y, pos - 1) as a0, count(*) as n from x group by 1, 2),
+       curved as (select *, list_transform(ys, lambda v, i: 2 * v - (a0 + b * (i - 1))) as cs from lists),
+       d as (select *, row_number() over w as k, count(*) over (partition by unique_id, cutoff) as total,
+                    pos - coalesce(lag(pos) over w, 0) as gap
+             from x where y > 0 window w as (partition by unique_id, cutoff order by date)),
+       rates as (select family, number, parameter as a, unique_id, cutoff,
+                   sum(pow(1 - parameter, total - k) * case when k = 1 then 1 else parameter end * y)
+                   / sum(pow(1 - parameter, total - k) * case when k = 1 then 1 else parameter end * gap) as y
+             from cand, d where family in ('Croston', 'SBA') group by all),
+       pr as (select family, number, parameter, unique_id, cutoff, fh, avg(y) as y from cand, cuts, steps, filled
+              where family = 'WindowAverage' and date > cutoff - cast(parameter as int) and date <= cutoff group by all
+              union all
+              select family, number, parameter, unique_id, cutoff, fh, avg(y) from cand, cuts, steps, range(1, 9) t(j), filled
+              where family = 'SeasonalWindowAverage' and j <= parameter and date = cutoff - cast(7 * j as int) + fh group by all
+              union all
+              select family, number, parameter, unique_id, cutoff, fh, list_reduce(ys, lambda s, v: parameter * v + (1 - parameter) * s)
+              from cand, curved, steps where family = 'SES'
+              union all
+              select family, number, parameter, unique_id, cutoff, fh,
+                     0.5 * (a0 + b * (n - 1 + fh)) + 0.5 * list_reduce(cs, lambda s, v: parameter * v + (1 - parameter) * s)
+              from cand, curved, steps where family = 'Theta'
+              union all
+              select family, number, a, unique_id, cutoff, fh, case when family = 'SBA' then 0.95 * y else y end from rates, steps),
+       s as (select family, number, parameter, pr.unique_id, cutoff,
+                    sqrt(avg((pr.y - f.y) * (pr.y - f.y)) / any_value(naive_mse)) as rmsse,
+                    avg(abs(pr.y - f.y)) as mae, avg(pr.y - f.y) as bias
+             from pr join filled f on f.unique_id = pr.unique_id and f.date = cutoff + fh
+             join scale on scale.unique_id = pr.unique_id group by all)
+       select family, number, parameter, round(avg(rmsse), 6) as rmsse, round(avg(mae), 6) as mae, round(avg(bias), 6) as bias
+       from s group by 1, 2, 3""",
+)
+def m24_candidate_search(spark, sf):
+    from shelfcast.plans.study import search
+
+    days = p.span(spark, sf)
+    found = search(
+        p.filled(spark, sf, days),
+        p.scale(spark, sf, days),
+        SearchSpace(),
+        h=p.H,
+        windows=p.WINDOWS,
+        season=p.SEASON,
+        last=days[1],
+    )
+    return rounded(found)
+
+
 @query(
     "l3_ranked_candidates",
     """with m as (select Model, round(avg(rmsse), 6) as rmsse from sc group by 1)

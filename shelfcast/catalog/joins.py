@@ -138,6 +138,18 @@ def j18_step_lookup(spark, sf):
     return recent.join(F.broadcast(steps), "date", "left")
 
 
+@query(
+    "j18_step_lookup_history",
+    """select f1.unique_id, f1.date, f1.y, s.fh from f1 left join (select date, min(fh) as fh from pf group by 1) s
+       on f1.date = s.date""",
+)
+def j18_step_lookup_history(spark, sf):
+    """Every sold day with its forecast step, null before the forecast."""
+    steps = p.forecast(spark, sf).groupBy("date").agg(F.min("fh").alias("fh"))
+    # One row per forecast day.
+    return p.brand_sales(spark, sf).join(F.broadcast(steps), "date", "left")
+
+
 @query(
     "j20_scores_with_scale",
     """select sc.unique_id, Model, cv, round(mae, 6) as mae, round(naive_mse, 6) as naive_mse,

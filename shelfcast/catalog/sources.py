@@ -149,14 +149,14 @@ def s10_write_forecasts(spark, sf):
 @query(
     "s11_append_scores",
     """select unique_id, Model, cv, cutoff as date, round(rmsse, 6) as rmsse, round(mae, 6) as mae, round(bias, 6) as bias
-       from sc where cv <= 3""",
+       from sc""",
 )
 def s11_append_scores(spark, sf):
     scores = rounded(p.dated_scores(spark, sf))
     path = staging_path(spark, "evaluation.parquet")
-    files.write_dated(scores.where("cv <= 2"), path)
-    # Windows 2 and 3: the second write replaces the date of window 2.
-    files.write_dated(scores.where("cv between 2 and 3"), path)
+    files.write_dated(scores.where("cv <= 3"), path)
+    # Windows 2 to 5: the second write replaces the dates of windows 2 and 3.
+    files.write_dated(scores.where("cv >= 2"), path)
     return spark.read.parquet(path)
 
 
@@ -171,6 +171,49 @@ def s14_weekly_batches(spark, sf):
     return rows.withColumn("week_end", F.date_format("week_end", "ddMMyyyy"))
 
 
+_WEEKS_SQL = """with d as (select date, (row_number() over (order by date) - 1) // 7 as b from (select distinct date from f1)),
+       e as (select date, strftime(max(date) over (partition by b), '%d%m%Y') as week_end from d)"""
+
+
+@query(
+    "s14_weekly_files",
+    _WEEKS_SQL + """ select f1.unique_id, f1.date, f1.y, e.week_end || '.csv' as file from f1 join e on f1.date = e.date""",
+)
+def s14_weekly_files(spark, sf):
+    """Weekly files by name, written twice: the second run replaces the first."""
+    folder = staging_path(spark, "weekly")
+    sales = p.brand_sales(spark, sf)
+    files.write_batches(sales.withColumn("y", F.col("y") + 1), folder)
+    files.write_batches(sales, folder)
+    return files.read_named(spark, folder, files.HISTORY)
+
+
+@query(
+    "s7_newest_listed_file",
+    _WEEKS_SQL
+    + """ select 'update' as category, strftime(max(date), '%d%m%Y') || '.csv' as name, max(date) as file_date from d
+          union all select 'main', 'main_' || strftime(max(date), '%d%m%Y') || '.csv', max(date) from d""",
+)
+def s7_newest_listed_file(spark, sf):
+    """The newest weekly file and snapshot among the files of a folder."""
+    folder = staging_path(spark, "landing")
+    sales = p.brand_sales(spark, sf)
+    files.write_batches(sales, folder)
+    stamp = F.concat(F.lit("main_"), F.date_format(F.col("date"), "ddMMyyyy"))
+    newest = sales.where(F.col("date") >= F.date_sub(F.lit(p.span(spark, sf)[1]), 1))
+    files.write_named(newest.withColumn("name", stamp), folder, "name")
+    return files.newest_versions(files.list_files(spark, folder, "*.csv"))
+
+
+@query("s10_flat_forecasts", 'select unique_id, date, fh, y, Model, Color, "True" from pubt')
+def s10_flat_forecasts(spark, sf):
+    """The flat forecast table, read back from the file that is named by its newest date."""
+    rows = scoring.attach_truth(p.published(spark, sf, LABELS), p.truth(spark, sf, p.span(spark, sf)))
+    chosen = rows.select("unique_id", "date", "fh", "y", "Model", "Color", "True")
+    flat = files.write_forecasts(chosen, publish.forecast_documents(rows), staging_path(spark, "model"))
+    return files.read_table(spark, flat, files.FORECASTS)
+
+
 @query("s15_snapshot_name", "select 'main_' || strftime(max(date), '%d%m%Y') || '.csv' as name from f1")
 def s15_snapshot_name(spark, sf):
     return files.snapshot_name(p.brand_sales(spark, sf))

@@ -186,16 +186,39 @@ WEEKDAY_ORDERS = Profile(
 )
 
 
+# Candidate lists and [low, high, step] ranges of the daily model's search.
+LOSS_CANDIDATES = ("mae", "mse", "rmse", "mape", "huber", "fair", "poisson", "tweedie")
+LAG_CANDIDATES = (7, 34, 1)
+TREE_RANGES = {
+    "n_estimators": (120, 300, 10),
+    "learning_rate": (0.005, 0.2, 0.005),
+}
+
+
+@dataclass(frozen=True)
+class Range:
+    """Values from `low` to `high`, both included, `sample` of them (0: all)."""
+
+    low: float
+    high: float
+    step: float
+    sample: int = 0
+
+    def __post_init__(self) -> None:
+        if self.step <= 0 or self.high < self.low:
+            raise ValueError("a range needs a positive step and low <= high")
+
+
 @dataclass(frozen=True)
 class SearchSpace:
-    """Candidate lists and [low, high, step] ranges for model search."""
-
-    losses: tuple[str, ...] = ("mae", "mse", "rmse", "mape", "huber", "fair", "poisson", "tweedie")
-    covariates: tuple[str, ...] = ("sell_price", "event_type_1", "event_type_2", "snap")
-    date_features: tuple[str, ...] = ("dayofweek", "month", "year")
-    lags: tuple[int, int, int] = (7, 34, 1)
-    sample_lags: int = 30
-    trees: tuple[float, float, float] = (120, 300, 10)
-    learning_rate: tuple[float, float, float] = (0.005, 0.2, 0.005)
-    leaves: tuple[float, float, float] = (20, 100, 2)
-    bins: tuple[float, float, float] = (20, 500, 20)
+    """What each model family is tried with: its window, number of seasons or smoothing constant."""
+
+    ranges: tuple[tuple[str, Range], ...] = (
+        ("WindowAverage", Range(LAG_CANDIDATES[0], LAG_CANDIDATES[1], LAG_CANDIDATES[2], 8)),
+        ("SeasonalWindowAverage", Range(1, 8, 1, 5)),
+        ("SES", Range(0.05, 0.95, 0.05, 6)),
+        ("Croston", Range(0.05, 0.4, 0.05, 4)),
+        ("SBA", Range(0.05, 0.4, 0.05, 4)),
+        ("Theta", Range(0.1, 0.9, 0.1, 4)),
+    )
+    seed: int = 42

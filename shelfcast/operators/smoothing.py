@@ -1,15 +1,17 @@
 """Models that fold over a whole series: Croston, exponential smoothing, theta.
 
-The history of a series is gathered once as an array, which is as long as the
-calendar, and sliced per cutoff; the folds are native `aggregate` expressions.
-Free parameters come from a fixed grid tried next to each other on each row.
+Exponential smoothing and theta gather the history of a series once as an array,
+as long as the calendar, and slice it per cutoff; the intermittent-demand models
+gather its days with demand only; residual traces run over short blocks whose
+starts a prefix scan finds. The folds are native `aggregate` expressions. Free
+parameters come from a fixed grid tried next to each other on each row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions import dates
@@ -74,17 +76,27 @@ def best_ses(values: Column, grid: Sequence[float]) -> Column:
     return F.array_min(tried)
 
 
-def demand_and_intervals(df: DataFrame) -> DataFrame:
-    """Non-zero values and the steps between them."""
-    marked = F.transform("ys", lambda v, i: F.struct(v.alias("v"), (i + 1).alias("at")))
-    seen = df.withColumn("_seen", F.filter(marked, lambda x: x["v"] > 0))
-    gaps = F.transform(
-        "_seen",
-        lambda x, i: (x["at"] - F.when(i == 0, F.lit(0)).otherwise(F.get("_seen", i - 1)["at"])).cast("double"),
+def demand_and_intervals(df: DataFrame, cutoffs: Column, start: Column | None = None, freq: str = "D") -> DataFrame:
+    """Per series and cutoff the sizes of its demands and the steps between them.
+
+    Only days with demand are gathered, so a panel need not hold its zeros; the
+    first interval counts from the day before `start`, by default the series'
+    first row.
+    """
+    entry = F.when(F.col("y") > 0, F.struct(DATE, F.col("y").cast("double").alias("y")))
+    first = F.min(DATE) if start is None else F.least(F.min(DATE), F.max(start))
+    gathered = df.groupBy(ID).agg(F.array_sort(F.collect_list(entry)).alias("_sold"), first.alias("_first"))
+    cut = gathered.withColumn("cutoff", F.explode_outer(cutoffs)).where(F.col("_first") <= F.col("cutoff"))
+    seen = cut.withColumn("_seen", F.filter("_sold", lambda x: x[DATE] <= F.col("cutoff")))
+    before = dates.day_index(F.col("_first"), freq) - 1
+
+    def gap(x: Column, i: Column) -> Column:
+        last = F.when(i == 0, before).otherwise(dates.day_index(F.get("_seen", i - 1)[DATE], freq))
+        return (dates.day_index(x[DATE], freq) - last).cast("double")
+
+    return seen.select(
+        ID, "cutoff", F.transform("_seen", lambda x: x["y"]).alias("demand"), F.transform("_seen", gap).alias("intervals")
     )
-    return seen.withColumns(
-        {"demand": F.transform("_seen", lambda x: x["v"]), "intervals": gaps}
-    ).drop("_seen")
 
 
 def _flat(df: DataFrame, h: int, model: str, y: Column, freq: str) -> DataFrame:
@@ -100,13 +112,19 @@ def _flat(df: DataFrame, h: int, model: str, y: Column, freq: str) -> DataFrame:
 
 
 def croston(
-    df: DataFrame, cutoffs: Column, h: int, variant: str = "classic", freq: str = "D"
+    df: DataFrame,
+    cutoffs: Column,
+    h: int,
+    variant: str = "classic",
+    freq: str = "D",
+    start: Column | None = None,
 ) -> DataFrame:
     """Intermittent demand: smoothed size over smoothed interval, 0 without any demand.
 
     `variant` is 'classic', 'sba' (times 0.95) or 'optimized' (constants from a grid).
+    Rows without demand may be there or not; `start` is the first day of the calendar.
     """
-    parts = demand_and_intervals(series_arrays(df, cutoffs))
+    parts = demand_and_intervals(df, cutoffs, start, freq)
     demand, intervals = F.col("demand"), F.col("intervals")
     if variant == "optimized":
         size = best_ses(demand, CROSTON_GRID)["level"]
@@ -130,19 +148,15 @@ def ses(
     return _flat(series_arrays(df, cutoffs), h, "SES", best_ses(F.col("ys"), grid)["level"], freq)
 
 
-def theta(
-    df: DataFrame, cutoffs: Column, h: int, alpha: float = 0.5, freq: str = "D"
-) -> DataFrame:
-    """Mean of the trend line and the smoothed line of doubled curvature."""
-    n = F.size("ys")
+def with_trend(arrays: DataFrame) -> DataFrame:
+    """Least-squares line through the values of `ys`: `_base` at the first one, `_slope` per step."""
     sums = F.aggregate(
         F.transform("ys", lambda v, i: F.struct(v.alias("v"), i.cast("double").alias("t"))),
         F.struct(F.lit(0.0).alias("y"), F.lit(0.0).alias("ty")),
         lambda s, x: F.struct((s["y"] + x["v"]).alias("y"), (s["ty"] + x["t"] * x["v"]).alias("ty")),
     )
-    fitted = (
-        series_arrays(df, cutoffs)
-        .withColumn("_n", F.size("ys").cast("double"))
+    return (
+        arrays.withColumn("_n", F.size("ys").cast("double"))
         .withColumn("_s", sums)
         .withColumn("_tbar", (F.col("_n") - 1) / 2)
         .withColumn("_sxx", F.col("_n") * (F.col("_n") * F.col("_n") - 1) / 12)
@@ -155,6 +169,13 @@ def theta(
         )
         .withColumn("_base", F.col("_s.y") / F.col("_n") - F.col("_slope") * F.col("_tbar"))
     )
+
+
+def theta(
+    df: DataFrame, cutoffs: Column, h: int, alpha: float = 0.5, freq: str = "D"
+) -> DataFrame:
+    """Mean of the trend line and the smoothed line of doubled curvature."""
+    fitted = with_trend(series_arrays(df, cutoffs))
     line = lambda t: F.col("_base") + F.col("_slope") * t
     curved = F.transform("ys", lambda v, i: 2.0 * v - line(i.cast("double")))
     level = fitted.withColumn("_curved", curved).withColumn(
@@ -260,30 +281,92 @@ def exponential_smoothing(
     )
 
 
-def ses_residuals(df: DataFrame, alpha: float) -> DataFrame:
-    """One-step errors of simple exponential smoothing with a fixed constant."""
-    gathered = df.groupBy(ID).agg(
-        F.array_sort(F.collect_list(F.struct(DATE, "y"))).alias("_history")
+#: Days of one block of a series; a block is one row and one fold.
+BLOCK = 64
+
+
+def _blocks(df: DataFrame, block: int) -> DataFrame:
+    """Rows of a series gathered by stretches of the calendar, each a short array in date order."""
+    number = F.floor(dates.day_index(F.col(DATE)) / block)
+    return df.groupBy(ID, number.alias("_block")).agg(
+        F.array_sort(F.collect_list(F.struct(DATE, F.col("y").cast("double").alias("y")))).alias("_rows")
     )
-    a = F.lit(alpha)
-    start = F.struct(
-        F.get("_history", F.lit(0))["y"].alias("level"),
-        F.get("_history", F.lit(0))[DATE].alias("cutoff"),
-        F.array().cast("array<struct<date:date,cutoff:date,y_true:double,y_pred:double>>").alias("trace"),
+
+
+def with_block_starts(df: DataFrame, alpha: Column, n_blocks: int, block: int = BLOCK) -> DataFrame:
+    """Per block of a series its rows and the level, date and row number before them.
+
+    A row maps the level l to (1 - alpha) * l + alpha * y, and maps compose to
+    maps, so a block is one pair (a, b). Pairs are composed over 1, 2, 4, ...
+    blocks back, which gives every block's start in as many steps as the number
+    of blocks has binary digits; no series is gathered and no step is longer
+    than a block. `n_blocks` bounds the blocks of a series.
+    """
+    order = Window.partitionBy(ID).orderBy("_block")
+    size = F.size("_rows")
+    shift = F.aggregate("_rows", F.lit(0.0), lambda s, x: alpha * x["y"] + (1 - alpha) * s)
+    rows = _blocks(df, block).withColumns({"_a": F.pow(1 - alpha, size), "_b": shift, "_n": size.cast("bigint")})
+    step = 1
+    while step < n_blocks:
+        a, b, n = (F.lag(c, step).over(order) for c in ("_a", "_b", "_n"))
+        rows = rows.withColumns(
+            {
+                "_b": F.col("_a") * F.coalesce(b, F.lit(0.0)) + F.col("_b"),
+                "_a": F.col("_a") * F.coalesce(a, F.lit(1.0)),
+                "_n": F.col("_n") + F.coalesce(n, F.lit(0)),
+            }
+        )
+        step *= 2
+    first = F.first(F.get("_rows", F.lit(0))["y"]).over(order)
+    before = F.lag(F.struct("_a", "_b", "_n", F.get("_rows", size - 1)[DATE].alias("last"))).over(order)
+    # The first row itself is the first level, which its own map leaves as it is.
+    return rows.withColumns({"_first": first, "_before": before}).select(
+        ID,
+        "_block",
+        "_rows",
+        F.coalesce(F.col("_before._a") * F.col("_first") + F.col("_before._b"), F.col("_first")).alias("_level"),
+        F.col("_before.last").alias("_last"),
+        F.coalesce(F.col("_before._n"), F.lit(0)).alias("_done"),
     )
 
+
+def block_count(df: DataFrame, block: int = BLOCK) -> int:
+    """Stretches of the calendar from the first to the last date of the panel."""
+    day = dates.day_index(F.col(DATE))
+    found = df.agg(F.min(F.floor(day / block)).alias("lo"), F.max(F.floor(day / block)).alias("hi")).first()
+    return 1 if found["lo"] is None else found["hi"] - found["lo"] + 1
+
+
+def ses_residuals(df: DataFrame, alpha: float, n_blocks: int | None = None, block: int = BLOCK) -> DataFrame:
+    """One-step errors of simple exponential smoothing with a fixed constant.
+
+    `cv` numbers the forecasts of a series in date order. `n_blocks` bounds the
+    stretches of the calendar; without it they are counted first.
+    """
+    a = F.lit(float(alpha))
+    started = with_block_starts(df, a, block_count(df, block) if n_blocks is None else n_blocks, block)
+    kind = "struct<level:double,last:date,trace:array<struct<date:date,cutoff:date,y_true:double,y_pred:double>>>"
+    empty = F.array().cast("array<struct<date:date,cutoff:date,y_true:double,y_pred:double>>")
+    start = F.struct(F.col("_level").alias("level"), F.col("_last").alias("last"), empty.alias("trace")).cast(kind)
+
     def step(s: Column, x: Column) -> Column:
-        row = F.struct(
-            x[DATE].alias("date"), s["cutoff"].alias("cutoff"), x["y"].alias("y_true"), s["level"].alias("y_pred")
-        )
+        row = F.struct(x[DATE].alias("date"), s["last"].alias("cutoff"), x["y"].alias("y_true"), s["level"].alias("y_pred"))
         return F.struct(
             (a * x["y"] + (1 - a) * s["level"]).alias("level"),
-            x[DATE].alias("cutoff"),
+            x[DATE].alias("last"),
             F.concat(s["trace"], F.array(row)).alias("trace"),
         )
 
-    fold = F.aggregate(tail(F.col("_history")), start, step)
-    rows = gathered.select(ID, F.inline_outer(fold["trace"])).where(F.col(DATE).isNotNull())
-    return rows.withColumns(
-        {"Model": F.lit("SES"), "residual": F.col("y_true") - F.col("y_pred"), "fh": F.lit(1)}
+    traced = started.select(ID, "_done", F.posexplode_outer(F.aggregate("_rows", start, step)["trace"]).alias("_i", "_row"))
+    rows = traced.select(ID, "_row.*", (F.col("_done") + F.col("_i")).cast("int").alias("cv"))
+    return rows.where(F.col("cutoff").isNotNull()).select(
+        ID,
+        DATE,
+        "cutoff",
+        "y_true",
+        "y_pred",
+        F.lit("SES").alias("Model"),
+        (F.col("y_true") - F.col("y_pred")).alias("residual"),
+        F.lit(1).alias("fh"),
+        "cv",
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -163,9 +165,45 @@ def write_forecasts(published: DataFrame, documents: DataFrame, path: str) -> st
     return flat
 
 
+def write_named(df: DataFrame, folder: str, by: str, suffix: str = ".csv") -> None:
+    """One CSV file per value of `by`, named by it, each published in one step.
+
+    The files are written aside, one task per value, and renamed through the
+    file system that the folder lives in, so a reader finds a whole file or
+    none, and a rerun replaces the files it writes and no others. The driver
+    handles names only.
+    """
+    spark = df.sparkSession
+    aside = f"{folder.rstrip('/')}/.aside-{uuid.uuid4().hex}"
+    df.repartition(F.col(by)).write.partitionBy(by).option("maxRecordsPerFile", 0).csv(aside, header=True)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(folder)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    context = hadoop.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
+    replace = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    replace[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    try:
+        for entry in files.listStatus(hadoop.Path(aside)):
+            if not entry.isDirectory():
+                continue
+            name = entry.getPath().getName().split("=", 1)[1]
+            written = [f.getPath() for f in files.listStatus(entry.getPath()) if f.getPath().getName().startswith("part-")]
+            if len(written) != 1:
+                raise ValueError(f"{len(written)} files for {name!r}")
+            context.rename(written[0], hadoop.Path(target, name + suffix), replace)
+    finally:
+        files.delete(hadoop.Path(aside), True)
+
+
+def read_named(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """Rows of a folder of named files with the `file` each came from."""
+    rows = spark.read.schema(schema).csv(folder, header=True, pathGlobFilter="*.csv", enforceSchema=False)
+    return clean(rows).withColumn("file", F.element_at(F.split(F.input_file_name(), "/"), -1))
+
+
 def write_batches(df: DataFrame, path: str) -> None:
-    """One folder per weekly batch, named by its last date."""
+    """One file per weekly batch, named by its last date."""
     from shelfcast.operators.panel import week_batches
 
-    batches = week_batches(df).withColumn("week_end", F.date_format("week_end", "ddMMyyyy"))
-    batches.write.mode("overwrite").partitionBy("week_end").csv(path, header=True)
+    named = week_batches(df).select(*df.columns, F.date_format("week_end", "ddMMyyyy").alias("week_end"))
+    write_named(named, path, "week_end")

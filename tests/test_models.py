@@ -120,6 +120,29 @@ def test_ses_residuals(series):
     assert {r["date"]: (r["cutoff"], r["y_true"], pytest.approx(r["y_pred"])) for r in rows} == expected
 
 
+@pytest.mark.parametrize("block", [1, 3, 64])
+def test_ses_residuals_over_blocks(series, block):
+    rng = np.random.default_rng(5)
+    days = [i for i in range(90) if rng.random() < 0.6 and not 20 <= i < 45]
+    ys = [float(v) for v in rng.integers(0, 30, len(days))]
+    df = series({"a": dict(zip(days, ys)), "late": {88: 2.0, 89: 6.0}})
+    got = {(r["unique_id"], r["cv"]): (r["date"], r["cutoff"], r["y_pred"]) for r in smoothing.ses_residuals(df, 0.3, block=block).collect()}
+    level = ys[0]
+    for k in range(1, len(days)):
+        assert got["a", k] == (day(days[k]), day(days[k - 1]), pytest.approx(level))
+        level = 0.3 * ys[k] + 0.7 * level
+    assert got["late", 1] == (day(89), day(88), 2.0) and len(got) == len(days)
+
+
+def test_croston_needs_no_zeros(series):
+    ys = {2: 3.0, 4: 5.0, 5: 2.0, 9: 8.0}
+    full = series({"a": {i: ys.get(i, 0.0) for i in range(11)}, "z": {i: 0.0 for i in range(11)}})
+    sparse = series({"a": ys, "z": {3: 0.0}})
+    for variant in ("classic", "optimized"):
+        want = found(smoothing.croston(full, last(10), 2, variant), "unique_id", "fh")
+        assert found(smoothing.croston(sparse, last(10), 2, variant, start=F.lit(day(0))), "unique_id", "fh") == want
+
+
 def test_autoregression_matches_least_squares(series):
     rng = np.random.default_rng(1)
     ys = list(rng.normal(size=3))

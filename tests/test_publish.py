@@ -240,3 +240,25 @@ def test_a_new_checkpoint_and_an_overlapping_file_lose_and_double_nothing(spark,
     stored = sorted(map(tuple, arrivals.stored_history(spark, table).collect()))
     assert stored == [("a", date(2016, 3, 6), 1.0), ("a", date(2016, 3, 7), 5.0), ("a", date(2016, 3, 14), 2.0)]
     assert spark.read.parquet(table).count() == 4
+
+
+def test_named_files_are_replaced_whole(spark, series, tmp_path):
+    from shelfcast.sources import files
+
+    folder = str(tmp_path / "weekly")
+    rows = series({"a": {i: float(i) for i in range(14)}, "b": {3: 1.0}})
+    files.write_batches(rows.withColumn("y", F.lit(9.0)), folder)
+    files.write_batches(rows.where("date < '2024-01-08'"), folder)
+    got = {(r.file, r.unique_id, r.date): r.y for r in files.read_named(spark, folder, files.HISTORY).collect()}
+    assert {f for f, *_ in got} == {"07012024.csv", "14012024.csv"} and len(got) == 15
+    assert got["07012024.csv", "b", day(3)] == 1.0 and got["14012024.csv", "a", day(13)] == 9.0
+    assert sorted(p.name for p in (tmp_path / "weekly").iterdir() if not p.name.startswith(".")) == ["07012024.csv", "14012024.csv"]
+
+
+def test_drawn_settings_repeat_and_stay_in_their_ranges():
+    from shelfcast.config import LOSS_CANDIDATES, ModelConfig
+    from shelfcast.plans import study
+
+    drawn = study.drawn_settings(ModelConfig(), 20, seed=1)
+    assert drawn == study.drawn_settings(ModelConfig(), 20, seed=1) != study.drawn_settings(ModelConfig(), 20, seed=2)
+    assert all(7 <= c.lags <= 34 and 120 <= c.trees <= 300 and 0.005 <= c.learning_rate <= 0.2 and c.loss in LOSS_CANDIDATES for c in drawn.values())
