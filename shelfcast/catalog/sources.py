@@ -180,10 +180,11 @@ _WEEKS_SQL = """with d as (select date, (row_number() over (order by date) - 1)
     _WEEKS_SQL + """ select f1.unique_id, f1.date, f1.y, e.week_end || '.csv' as file from f1 join e on f1.date = e.date""",
 )
 def s14_weekly_files(spark, sf):
-    """Weekly files by name, written twice: the second run replaces the first."""
+    """Weekly files by name; the first ones were there before and are replaced."""
     folder = staging_path(spark, "weekly")
     sales = p.brand_sales(spark, sf)
-    files.write_batches(sales.withColumn("y", F.col("y") + 1), folder)
+    early = sales.where(F.col("date") < F.date_add(F.lit(p.span(spark, sf)[0]), 28))
+    files.write_batches(early.withColumn("y", F.col("y") + 1), folder)
     files.write_batches(sales, folder)
     return files.read_named(spark, folder, files.HISTORY)
 
