@@ -59,6 +59,10 @@ def _key(name: str, attributes: str) -> str:
     return name
 
 
+#: What an aside element within main text costs, and log odds of words from which an element counts as main text.
+ASIDE_COST, HOST = 0.5, 1.0
+
+
 def tokens(page: str):
     """("open" | "close", element, key) and ("text", raw text, "") in page order."""
     for m in _PARTS.finditer(page):
@@ -122,40 +126,65 @@ def learn(pages: DataFrame, html: str = "html") -> dict[str, tuple[float, float]
     return {k: (w, t) for k, (w, t) in weights.items()}
 
 
+def best_run(score: list[float]) -> tuple[int, int]:
+    """Bounds of the contiguous run with the greatest sum, the first and shortest among equals; empty if none is positive."""
+    best, begin, end, running, start = 0.0, 0, 0, 0.0, 0
+    for i, s in enumerate(score):
+        if running <= 0:
+            running, start = 0.0, i
+        running += s
+        if running > best:
+            best, begin, end = running, start, i + 1
+    return begin, end
+
+
 def extract(page: str | None, weights: dict[str, tuple[float, float]]) -> str:
-    """The page's main text, blocks joined by line feeds."""
+    """The page's main text, blocks joined by line feeds.
+
+    An aside element within main text costs ASIDE_COST whatever it holds, so
+    that an advert or a form of any length is left out without ending the run;
+    elsewhere its words count against the run.
+    """
     if not page:
         return ""
 
-    def aside(stack) -> bool:
+    def is_aside(name: str, key: str) -> bool:
+        if name in ("html", "body", "article", "main"):
+            return False
+        words = weights.get(key, (0.0, 0.0))[0]
+        # Marked elements are aside unless their words are mostly main text; others need clear evidence.
+        return words < -2 or (name in ASIDE or "." in key) and words <= 0
+
+    def is_host(name: str, key: str) -> bool:
+        return name in ("article", "main") or name not in ("html", "body") and weights.get(key, (0.0, 0.0))[0] > HOST
+
+    def place(stack) -> tuple[bool, bool]:
+        """Is the innermost element aside, and if so, within main text."""
+        host = False
         for name, key in stack:
-            if name in ("html", "body", "article", "main"):
-                continue
-            words = weights.get(key, (0.0, 0.0))[0]
-            marked = name in ASIDE or "." in key
-            # Marked elements are aside unless their words are mostly main text; others need clear evidence.
-            if words < -2 or marked and words <= 0:
-                return True
-        return False
-
-    items, score = [], []
+            if is_aside(name, key):
+                return True, host
+            host = host or is_host(name, key)
+        return False, False
+
+    items, score, hosted = [], [], False
     for kind, name, key, stack in _walk(page):
+        out, inside = place(stack)
         if kind == "text":
-            out = aside(stack)
             items.append(("text", name, out))
             n = len(name.split())
-            score.append(-n if out else n)
+            score.append(0.0 if inside else -n if out else n)
         else:
             items.append((kind, name, False))
             odds = weights.get(key, (0.0, -1.0))[1]
-            score.append(-0.01 if odds > 0 else -min(8.0, 0.1 - odds))
-    best, begin, end, running, start = 0.0, 0, 0, 0.0, 0
-    for i, s in enumerate(score):
-        if running <= 0:
-            running, start = 0.0, i
-        running += s
-        if running > best:
-            best, begin, end = running, start, i + 1
+            cost = 0.01 if odds > 0 else min(8.0, 0.1 - odds)
+            if inside or hosted:
+                cost = 0.0  # within the element, or its end
+            elif kind == "open" and place([*stack, (name, key)])[1]:
+                cost = min(cost, ASIDE_COST)
+            score.append(-cost)
+        hosted = inside
+    begin, end = best_run(score)
     blocks, block = [], []
 
     def close():
