@@ -379,7 +379,16 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str = "i
     return result.distinct()
 
 
-def drop_leaked(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without a leaked item, with all their columns."""
-    bad = leaks(docs, items, key, text=text).filter("leaked").select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs[key].cast("bigint") == F.col("__bad"), "left_anti")
+def drop_leaked(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
+    """The documents without a leaked item, with all their columns.
+
+    Whether a text leaks depends on nothing but the text, so rows are told apart
+    by a 64-bit hash of it: rows without an id go like others, and of repeated
+    rows all or none.
+    """
+    key = "__text"
+    while key in docs.columns:
+        key += "_"
+    keyed = docs.withColumn(key, F.xxhash64(F.col(f"`{text}`")))
+    bad = leaks(keyed, items, key, text=text).filter("leaked").select(F.col("doc_id").alias(key)).distinct()
+    return keyed.join(bad, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -324,8 +324,11 @@ def test_license_notices_in_any_place_and_by_name(text, licenses):
 
 
 def test_license_templates_find_themselves():
-    for name, t in license_scan.TEMPLATES.items():
-        assert {n["license"] for n in license_scan.notices("words before it. " + t + " and after")} == {name}
+    for name, listed in license_scan.TEMPLATES.items():
+        for t in listed:
+            found = license_scan.notices("words before it. " + t + " and after")
+            assert {n["license"] for n in found} == {name}
+            assert max(n["end"] - n["start"] for n in found) > 0.9 * len(t)
 
 
 def test_base_spans_equal_plain_regexes(spark):
@@ -366,3 +369,72 @@ def test_lm_scores_equal_plain_counts(spark):
         assert r.base_score == pytest.approx(sum(math.log10(p(w)) for w in ws), rel=1e-9)
         exact = sum(math.log10((two[u, w] + lm.K * p(w)) / (context.get(u, 0) + lm.K)) for u, w in zip(["<s>", *ws], ws))
         assert abs(r.score - exact) <= 0.02 * len(ws)  # the code book rounds each pair's number
+
+
+def test_repeated_license_lines_are_a_notice_each():
+    import time
+
+    line = "Licensed under the MIT License."
+    begun = time.perf_counter()
+    found = license_scan.notices("\n".join([line] * 5000))
+    assert time.perf_counter() - begun < 5
+    assert [(n["license"], n["start"], n["end"]) for n in found] == [("MIT", i * 32, i * 32 + 31) for i in range(5000)]
+
+
+def test_the_template_that_saves_most_bytes_wins():
+    """Against every template and every stretch of the words around the name."""
+    apache = license_scan.TEMPLATES["Apache-2.0"][1]
+    bsd = license_scan.TEMPLATES["BSD-3-Clause"][1]
+    for text, name in ((f"some words. {apache} more words", "Apache-2.0"), (f"Copyright 2020 A. {bsd} End.", "BSD-3-Clause")):
+        found = license_scan.notices(text)
+        best = max(
+            (license_scan._saved(other, k, t)[0], other)
+            for other, listed in license_scan.TEMPLATES.items()
+            for k in range(len(listed))
+            for t in [text[found[0]["start"] : found[0]["end"]]]
+        )
+        assert best[1] == name == found[0]["license"] and found[0]["reduction"] > 0.5 and found[0]["difference"] < 0.05
+
+
+def test_license_scan_of_odd_rows(spark):
+    rows = [(1, None, "x"), (1, "", "y"), (2, "Licensed under CC BY 4.0.", "z"), (2, "Licensed under CC BY 4.0.", "z"), (None, "Licensed under CC BY 4.0.", "w")]
+    df = spark.createDataFrame(rows, "doc_id int, text string, notices string")
+    got = license_scan.scan(df).collect()
+    assert sorted((r.doc_id or 0, len(r.notices)) for r in got) == [(0, 1), (1, 0), (1, 0), (2, 1), (2, 1)]
+    assert license_scan.scan(df.filter("doc_id > 5")).count() == 0
+
+
+def test_best_run_equals_all_runs():
+    import random
+
+    rng = random.Random(8)
+    for _ in range(300):
+        score = [rng.choice((-8.0, -2.0, -0.5, 0.0, 1.0, 3.0)) for _ in range(rng.randint(0, 25))]
+        begin, end = html_extract.best_run(score)
+        best = max((sum(score[i:j]) for i in range(len(score)) for j in range(i, len(score) + 1)), default=0.0)
+        assert sum(score[begin:end]) == best or best <= 0 and begin == end
+
+
+def test_asides_of_any_length_do_not_cut_the_article(spark):
+    import random
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    weights = html_extract.learn(pages)
+    rng = random.Random(9)
+    kinds = ('<div class="ad">%s</div>', '<div class="notice"><p>%s</p><p>more</p></div>', '<form><label>%s</label><input name="q"><button>Go</button></form>')
+    for row in pages.orderBy("page_id").limit(60).collect():
+        article = re.search(r"<article.*?>(.*)</article>", row.html, re.S)
+        text = html_extract.extract(row.html, weights)
+        for m in re.finditer(r"</p>", article[1]):
+            at = article.start(1) + m.end()
+            for n in (5, 60, 500):
+                junk = rng.choice(kinds) % " ".join(rng.choices(["buy", "now", "cheap", "offer"], k=n))
+                assert html_extract.extract(row.html[:at] + junk + row.html[at:], weights) == text
+
+
+def test_html_of_odd_rows(spark):
+    page = "<html><body><article><p>some words here</p></article></body></html>"
+    df = spark.createDataFrame([(1, None, "x"), (2, "", "y"), (3, page, "z"), (3, page, "z")], "page_id int, html string, main_text string")
+    assert sorted((r.page_id, r.main_text) for r in html_extract.main_text(df).collect()) == [(1, ""), (2, ""), (3, "some words here"), (3, "some words here")]
+    assert html_extract.main_text(df.filter("page_id > 9")).count() == 0
+    assert html_extract.main_text(df.filter("page_id < 3")).count() == 2
