@@ -227,20 +227,27 @@ def m17_upper_intervals(spark, sf):
 
 
 def _spread_sql(select: str) -> str:
+    """Spread of one-step and one-season errors up to the cutoff, and the forecasts made there."""
     return f"""
-      with r as (select unique_id, y - lag(y, 1) over w as e1, y - lag(y, 7) over w as e7 from filled
-                 where date <= {_LAST} - 7 window w as (partition by unique_id order by date)),
-      s as (select unique_id, sqrt(avg(e1 * e1)) as s1, sqrt(avg(e7 * e7)) as s7 from r group by 1)
+      with fm as materialized (select * from filled),
+      b as materialized (select max(date) - 7 as cutoff from f1),
+      r as (select unique_id, y - lag(y, 1) over w as e1, y - lag(y, 7) over w as e7 from fm
+            where date <= (select cutoff from b) window w as (partition by unique_id order by date)),
+      s as materialized (select unique_id, sqrt(avg(e1 * e1)) as s1, sqrt(avg(e7 * e7)) as s7 from r group by 1),
+      made as (select unique_id, cast(cutoff + fh as date) as date, 'Naive' as Model, y, fh from fm join b on date = cutoff, steps
+             union all
+             select unique_id, cast(date + 7 as date), 'SeasonalNaive', y, cast(date - (cutoff - 7) as int)
+             from fm join b on date > cutoff - 7 and date <= cutoff)
       {select}"""
 
 
 @query(
     "m18_normal_intervals",
     _spread_sql(
-        f"""select pf.unique_id, date, fh, cast(null as int) as cv, y as "Naive",
+        f"""select made.unique_id, date, fh, cast(null as int) as cv, y as "Naive",
               round(y - s1 * sqrt(fh) * {Z80}, 6) as "Naive-lo-80", round(y + s1 * sqrt(fh) * {Z80}, 6) as "Naive-hi-80",
               round(y - s1 * sqrt(fh) * {Z95}, 6) as "Naive-lo-95", round(y + s1 * sqrt(fh) * {Z95}, 6) as "Naive-hi-95"
-            from pf join s on pf.unique_id = s.unique_id where Model = 'Naive'"""
+            from made join s on made.unique_id = s.unique_id where Model = 'Naive'"""
     ),
 )
 def m18_normal_intervals(spark, sf):
@@ -258,10 +265,10 @@ def _normal(spark, sf, model, levels=(0.8, 0.95)):
 @query(
     "g12_melt_intervals",
     _spread_sql(
-        f"""select pf.unique_id, date, Model, y,
+        f"""select made.unique_id, date, Model, y,
               round(greatest(0, y - s7 * {Z80}), 6) as up_20, round(greatest(0, y + s7 * {Z80}), 6) as up_80,
               round(greatest(0, y - s7 * {Z95}), 6) as up_5, round(greatest(0, y + s7 * {Z95}), 6) as up_95
-            from pf join s on pf.unique_id = s.unique_id where Model = 'SeasonalNaive'"""
+            from made join s on made.unique_id = s.unique_id where Model = 'SeasonalNaive'"""
     ),
 )
 def g12_melt_intervals(spark, sf):
@@ -275,10 +282,10 @@ def g12_melt_intervals(spark, sf):
 @query(
     "g13_extract_intervals",
     _spread_sql(
-        f"""select pf.unique_id, date, Model as model, y,
+        f"""select made.unique_id, date, Model as model, y,
               round(y - s1 * sqrt(fh) * {Z80}, 6) as "Lower-80", round(y + s1 * sqrt(fh) * {Z80}, 6) as "Upper-80",
               round(y - s1 * sqrt(fh) * {Z95}, 6) as "Lower-95", round(y + s1 * sqrt(fh) * {Z95}, 6) as "Upper-95"
-            from pf join s on pf.unique_id = s.unique_id where Model = 'Naive'"""
+            from made join s on made.unique_id = s.unique_id where Model = 'Naive'"""
     ),
 )
 def g13_extract_intervals(spark, sf):
