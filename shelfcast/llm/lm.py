@@ -13,9 +13,10 @@ Training reads the texts twice. The first pass counts words; the most frequent
 ones, COMMON at most, and the end are broadcast with their counts. The second counts pairs: a
 pair of common words travels as one number, sorted and as steps, any other with
 the hashes of its rare words. A shard of pairs asks the shards of words for its
-rare words' counts and becomes a trie: a level of contexts, monotone pointers into
-a level of successors, all Elias-Fano coded and searched as they are, and the
-pairs' numbers rounded to whole STEPs. Shards of pairs are numbered by the distinct
+rare words' counts and becomes two tries, over the places of common words and over
+hashes: a level of contexts, monotone pointers into a level of successors, all
+Elias-Fano coded and searched as they are, and the pairs' numbers rounded to whole
+STEPs. Shards of pairs are numbered by the distinct
 pairs, estimated from one hash in MARKED.
 
 Scoring sends a batch's distinct rare words and distinct pairs to the shards, once
@@ -489,13 +490,15 @@ def _build(tokens: int, types: int, common):
             keys = np.cumsum(_numbers(steps))
             u, v = far_hashes(fu, fv, rare_u, rare_v, wide)
             places = _numbers(fv) - 1
-            far = np.where(places >= 0, wide.counts[np.maximum(places, 0)] if len(wide.counts) else 0, lookup(v, words, counts))
-            c = np.concatenate([wide.counts[keys % wide.size], far])
-            u, v = np.concatenate([wide.hashes(keys // wide.size), u]), np.concatenate([wide.hashes(keys % wide.size), v])
-            below = (c + 0.5) / (tokens + 0.5 * (types + 1))
-            times = np.concatenate([times.astype(np.int64), far_times.astype(np.int64)])
-            trie = Trie(u, v, np.log10(1 + times / (K * below)))
-            rows.append((shard, 1, zstandard.compress(pickle.dumps(trie, protocol=5), 1)))
+            far = np.where(places >= 0, wide.counts[np.maximum(places, 0)], lookup(v, words, counts))
+
+            def trie(u, v, times, c):
+                below = (c + 0.5) / (tokens + 0.5 * (types + 1))
+                return Trie(u.astype(_U), v.astype(_U), np.log10(1 + times.astype(np.int64) / (K * below)))
+
+            near = trie(keys // wide.size, keys % wide.size, times, wide.counts[keys % wide.size])
+            tries = near, trie(u, v, far_times, far)
+            rows.append((shard, 1, zstandard.compress(pickle.dumps(tries, protocol=5), 1)))
         return pa.Table.from_batches([_batch(rows, _NAMES, _KINDS)])
 
     return build
@@ -563,12 +566,12 @@ def _sums(rows: np.ndarray, counts: np.ndarray, tokens: np.ndarray | None, n: in
 
 def _replies(common):
     def reply(left: pa.Table, right: pa.Table) -> pa.Table:
-        words, counts, trie, wide = np.zeros(0, _U), np.zeros(0, np.int64), None, common.value
+        words, counts, tries, wide = np.zeros(0, _U), np.zeros(0, np.int64), None, common.value
         for kind, cell in zip(right.column("kind").to_pylist(), right.column("payload"), strict=True):
             if kind == 0:
                 words, counts = unpack(cell.as_py())
             else:
-                trie = pickle.loads(zstandard.decompress(cell.as_py()))
+                tries = pickle.loads(zstandard.decompress(cell.as_py()))
         rows = []
         for shard, kind, batch, cell in zip(*(left.column(c).to_pylist() for c in ("shard", "kind", "batch")), left.column("payload"), strict=True):
             payload = cell.as_py()
@@ -577,10 +580,11 @@ def _replies(common):
             elif kind == 1:
                 steps, fu, fv, rare_u, rare_v = unpack(payload)
                 keys = np.cumsum(_numbers(steps))
-                u, v = far_hashes(fu, fv, rare_u, rare_v, wide)
-                u, v = np.concatenate([wide.hashes(keys // wide.size), u]), np.concatenate([wide.hashes(keys % wide.size), v])
-                found = trie.find(u, v) if trie is not None else np.zeros(len(u), np.uint16)
-                payload = pack(found[: len(keys)], found[len(keys) :])
+                asked = (keys // wide.size, keys % wide.size), far_hashes(fu, fv, rare_u, rare_v, wide)
+                if tries is None:
+                    payload = pack(*(np.zeros(len(u), np.uint16) for u, _ in asked))
+                else:
+                    payload = pack(*(trie.find(u, v) for trie, (u, v) in zip(tries, asked, strict=True)))
             rows.append((batch, kind, shard, payload))
         return pa.Table.from_batches([_batch(rows, ["batch", "kind", "shard", "payload"], [pa.int64(), pa.int32(), pa.int64(), pa.binary()])])
 
