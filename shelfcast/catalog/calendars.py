@@ -8,6 +8,7 @@ from shelfcast.catalog import panels as p
 from shelfcast.catalog.registry import query
 from shelfcast.functions import dates
 from shelfcast.operators import panel
+from shelfcast.session import durable
 
 
 @query("g1_calendar_fill", "select unique_id, date, y from filled")
@@ -27,11 +28,15 @@ def g1_calendar_fill_covariates(spark, sf):
     )
 
 
+_COVARS = ["event_type_1", "snap", "day_class"]
+
+
+def _covariate_rows(spark, sf):
+    return p.brand_with_covariates(spark, sf).join(F.broadcast(p.day_class(spark, sf)), "date", "left")
+
+
 def _covariate_panel(spark, sf):
-    rows = p.brand_with_covariates(spark, sf).join(F.broadcast(p.day_class(spark, sf)), "date", "left")
-    return panel.fill_calendar(
-        rows, covars=["event_type_1", "snap", "day_class"], span=p.span(spark, sf)
-    )
+    return panel.fill_calendar(_covariate_rows(spark, sf), covars=_COVARS, span=p.span(spark, sf))
 
 
 _COVARIATE_SQL = """
@@ -56,11 +61,14 @@ _COVARIATE_SQL = """
     from g left join m1 on g.unique_id = m1.unique_id left join m2 on g.date = m2.date""",
 )
 def g2_most_frequent_fill(spark, sf):
+    # The daily rows are far fewer than the facts; both the fill and the modes read them.
+    rows = durable(panel.observed_rows(_covariate_rows(spark, sf), covars=_COVARS))
     return panel.fill_most_frequent(
-        _covariate_panel(spark, sf),
+        panel.fill_calendar(rows, covars=_COVARS, span=p.span(spark, sf)),
         item_covars=["event_type_1"],
         item_time_covars=["snap"],
         time_covars=["day_class"],
+        observed=rows,
     )
 
 

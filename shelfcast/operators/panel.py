@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions import dates
+from shelfcast.operators.histogram import modes, value_histogram, value_histograms
 
 ID = "unique_id"
 DATE = "date"
@@ -100,6 +101,20 @@ def _tail(df: DataFrame, since: date, values: Sequence[str], date_col: str) -> D
     return df.withColumns(emptied | {date_col: F.when(recent, F.col(date_col)).otherwise(edge)})
 
 
+def observed_rows(
+    df: DataFrame,
+    *,
+    covars: Sequence[str] = (),
+    business_days: bool = False,
+    keys: Sequence[str] = (ID,),
+    date_col: str = DATE,
+    value_col: str = "y",
+) -> DataFrame:
+    """The rows that `fill_calendar` keeps, before it adds any."""
+    rows = df.select(*keys, date_col, value_col, *covars).distinct().where(F.col(date_col).isNotNull())
+    return rows.where(F.weekday(date_col) < 5) if business_days else rows
+
+
 def fill_calendar(
     df: DataFrame,
     *,
@@ -130,7 +145,7 @@ def fill_calendar(
         if since > span[0]:
             df = _tail(df, since, [value_col, *covars], date_col)
             span = (since - timedelta(days=1), span[1])
-    rows = df.select(*keys, date_col, value_col, *covars).distinct()
+    rows = observed_rows(df, covars=covars, keys=keys, date_col=date_col, value_col=value_col)
     if scope:
         bounds = df.groupBy(*scope).agg(F.min(date_col).alias("_a"), F.max(date_col).alias("_b"))
         rows = rows.join(bounds, list(scope))
@@ -181,9 +196,7 @@ def most_frequent(df: DataFrame, keys: Sequence[str], column: str, alias: str) -
     Values are counted first, so a key that holds most of the rows is reduced
     on the map side and never gathered.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count("*").alias("_n"))
-    best = F.min(F.struct((-F.col("_n")).alias("n"), F.col(column).alias("v")))["v"].alias(alias)
-    return counts.groupBy(*keys).agg(best)
+    return modes(value_histogram(df, keys, column), keys, column, alias)
 
 
 def fill_most_frequent(
@@ -193,22 +206,27 @@ def fill_most_frequent(
     item_time_covars: Sequence[str] = (),
     time_covars: Sequence[str] = (),
     date_col: str = DATE,
+    observed: DataFrame | None = None,
 ) -> DataFrame:
-    """Null covariates take the mode of their series, date or the whole table."""
+    """Null covariates take the mode of their series, date or the whole table.
+
+    All modes come from one pass over the rows: those of `df`, or of `observed`,
+    its rows before a calendar fill, which adds only nulls.
+    """
+    wanted = [((ID,), c) for c in item_covars] + [((date_col,), c) for c in item_time_covars]
+    wanted += [((), c) for c in time_covars]
+    if not wanted:
+        return df
     out = df
-    for key, columns in ((ID, item_covars), (date_col, item_time_covars)):
-        for column in columns:
-            modes = most_frequent(df, [key], column, "_mode")
-            if key == date_col:
-                modes = F.broadcast(modes)  # one row per calendar day
-            out = (
-                out.join(modes, key, "left")
-                .withColumn(column, F.coalesce(column, "_mode"))
-                .drop("_mode")
-            )
-    for column in time_covars:
-        mode = most_frequent(df, [], column, "_mode").scalar()
-        out = out.withColumn(column, F.coalesce(F.col(column), mode))
+    counted = value_histograms(df if observed is None else observed, wanted)
+    for (keys, column), histogram in zip(wanted, counted, strict=True):
+        found = modes(histogram, keys, column, "_mode")
+        if not keys:
+            out = out.withColumn(column, F.coalesce(F.col(column), found.scalar()))
+            continue
+        if keys == (date_col,):
+            found = F.broadcast(found)  # one row per calendar day
+        out = out.join(found, list(keys), "left").withColumn(column, F.coalesce(column, "_mode")).drop("_mode")
     return out.select(*df.columns)
 
 

@@ -7,22 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.operators.histogram import value_histogram
+
 
 def exact_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float], bins: int = 64
 ) -> DataFrame:
     """Linear-interpolation quantiles per key as the array column `quantiles`.
 
-    Equal values are counted first. A sketch then cuts each group into bins,
-    the bin counts say which bins hold the wanted positions, and only those
-    bins are ranked. No task sees more than one bin of a group.
+    Equal values are counted first, in a histogram that is written once.
+    """
+    return histogram_quantiles(value_histogram(df, keys, value), keys, value, probabilities, bins)
+
+
+def histogram_quantiles(
+    histogram: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float], bins: int = 64
+) -> DataFrame:
+    """The same from (keys, value, n) rows.
+
+    A sketch cuts each group into bins, the bin counts say which bins hold the
+    wanted positions, and only those bins are ranked. No task sees more than one
+    bin of a group.
     """
     keys = list(keys)
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("_v"))
-        .agg(F.count("*").alias("_n"))
-    )
+    counts = histogram.select(*keys, F.col(value).cast("double").alias("_v"), F.col("n").alias("_n"))
     # Cuts over the distinct values, so that bins are even in what a task ranks.
     cuts = counts.groupBy(*keys).agg(
         F.percentile_approx("_v", [i / bins for i in range(1, bins)], 20 * bins).alias("_cuts")

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions import dates
 from shelfcast.operators.panel import DATE, ID, last_date, recent_weeks
-from shelfcast.operators.quantiles import exact_quantiles
+from shelfcast.operators.histogram import value_histogram
+from shelfcast.operators.quantiles import histogram_quantiles
 from shelfcast.operators.ranking import with_rank
 
 # Names of the four newest weeks.
@@ -88,24 +89,25 @@ def top_store(df: DataFrame, store: str = "store_id") -> DataFrame:
 def seasonal_boxes(df: DataFrame) -> DataFrame:
     """Quartiles and whiskers of non-zero sales per weekday and season.
 
-    The 28 groups hold the whole table, so their quartiles come from the
-    distributed quantile operator; the whiskers are a second small aggregate.
+    The 28 groups hold the whole table. Its values are counted once; quartiles
+    and whiskers are both read from the counts.
     """
     rows = df.where(F.col("y") > 0).select(
         F.weekday(DATE).alias("dayofweek"), dates.season_of(F.col(DATE)).alias("season"), "y"
     )
     keys = ["dayofweek", "season"]
-    quartiles = exact_quantiles(rows, keys, "y", [0.25, 0.5, 0.75], bins=256).select(
+    counts = value_histogram(rows, keys, "y")
+    quartiles = histogram_quantiles(counts, keys, "y", [0.25, 0.5, 0.75], bins=256).select(
         *keys,
         *[F.get("quantiles", F.lit(i)).alias(n) for i, n in enumerate(("q1", "median", "q3"))],
     )
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col("y").between(F.col("q1") - reach, F.col("q3") + reach)
     whiskers = (
-        rows.join(F.broadcast(quartiles), keys)  # at most 28 rows
+        counts.join(F.broadcast(quartiles), keys)  # at most 28 rows
         .groupBy(*keys)
         .agg(
-            F.count("*").alias("n"),
+            F.sum("n").alias("n"),
             F.min(F.when(inside, F.col("y"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("y"))).alias("whisker_high"),
         )

@@ -59,7 +59,10 @@ def preprocess(
             later = later.where(F.weekday(DATE) < 5)
         rows = rows.unionByName(later, allowMissingColumns=True)
     if covars:
-        rows = panel.fill_most_frequent(rows, **groups)
+        observed = panel.observed_rows(raw, covars=covars, business_days=settings.remove_weekends)
+        if future is not None:
+            observed = observed.unionByName(later, allowMissingColumns=True)
+        rows = panel.fill_most_frequent(rows, **groups, observed=observed)
         rows = features.categorise(rows, features.categorical_columns(rows))
     if not filter_dates:
         return rows

@@ -5,7 +5,7 @@ from datetime import date
 from conftest import SERIES, day
 from pyspark.sql import functions as F
 
-from shelfcast.operators import panel
+from shelfcast.operators import histogram, panel
 
 
 def values(df):
@@ -133,3 +133,35 @@ def test_fill_drops_rows_without_a_date(spark, series):
     broken = panel.unionByName(spark.createDataFrame([("a", None, 9.0)], panel.schema))
     key = lambda df: sorted((r.unique_id, r.date, r.y) for r in df.collect())
     assert key(fill_calendar(broken)) == key(fill_calendar(panel))
+
+
+def test_modes_of_observed_rows_fill_the_calendar(spark):
+    """One pass gives the modes of series, dates and the table; the same as from the filled panel."""
+    days = [date(2024, 1, d) for d in (1, 2, 5, 6)]
+    rows = [
+        ("a", days[0], 1.0, "x", 1, None), ("a", days[1], 2.0, "x", None, "lo"), ("a", days[2], 3.0, "y", 2, "hi"),
+        ("a", days[2], 3.0, "y", 2, "hi"), ("b", days[0], 4.0, None, 1, "hi"), ("b", days[1], 4.0, None, 3, "lo"),
+        ("b", days[3], 4.0, None, 2, "hi"), ("c", days[2], 1.0, "z", None, None), ("c", None, 1.0, "q", 7, "no"),
+    ]
+    df = spark.createDataFrame(rows, "unique_id string, date date, y double, k string, s int, w string")
+    covars = ["k", "s", "w"]
+    groups = {"item_covars": ["k"], "item_time_covars": ["s"], "time_covars": ["w"]}
+    for weekdays in (False, True):
+        filled = panel.fill_calendar(df, covars=covars, business_days=weekdays)
+        observed = panel.observed_rows(df, covars=covars, business_days=weekdays)
+        got = panel.fill_most_frequent(filled, **groups, observed=observed).collect()
+        assert sorted(map(str, got)) == sorted(map(str, panel.fill_most_frequent(filled, **groups).collect()))
+        found = {(r.unique_id, r.date.day): (r.k, r.s, r.w) for r in got}
+        # A tie goes to the smaller value; a series without any value keeps its nulls.
+        assert found["a", 1] == ("x", 1, "hi") and found["b", 2] == (None, 3, "lo")
+        assert found["c", 2] == ("z", 3, "hi") and found["c", 3] == ("z", None, "hi")
+
+
+def test_histograms_of_empty_and_null_values(spark):
+    df = spark.createDataFrame([("a", None), ("b", 2.0), ("b", 2.0), (None, 2.0)], "g string, v double")
+    rows = {(r.g, r.v): r.n for r in histogram.value_histogram(df, ["g"], "v").collect()}
+    assert rows == {("b", 2.0): 2, (None, 2.0): 1}
+    whole, by = histogram.value_histograms(df, [((), "v"), (("g",), "v")])
+    assert [tuple(r) for r in whole.collect()] == [(2.0, 3)]
+    assert {(r.g, r.v): r.n for r in by.collect()} == rows
+    assert histogram.value_histograms(df.limit(0), [(("g",), "v")])[0].collect() == []
