@@ -69,7 +69,8 @@ RULES = (
     Rule("access", "AKIA", "[A-Z0-9]", 16),
     Rule("hex", "", "[0-9a-f]", 24),
     Rule("private_key", "-----BEGIN", "[A-Z0-9 ]", 0, "PRIVATE KEY(?: BLOCK)?-----", mark="-----BEGIN", body=KEY_BODY),
-    Rule("jwt", r"eyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}\.", r"[A-Za-z0-9_\-]", 8, mark=r"eyJ[A-Za-z0-9_\-]{4}"),
+    # Without a dot after it a first part is passed over whole, as every later start in it fails alike; its tail is then empty.
+    Rule("jwt", r"eyJ[A-Za-z0-9_\-]{8,}+(?:\.[A-Za-z0-9_\-]{8,}+\.", r"[A-Za-z0-9_\-]", 8, ")?", mark=r"eyJ[A-Za-z0-9_\-]{4}"),
     Rule("github", "gh[opsur]_", "[A-Za-z0-9]", 36),
     Rule("slack", r"xox[abprs]-", r"[A-Za-z0-9\-]", 10),
     Rule("google", "AIza", r"[A-Za-z0-9_\-]", 35),

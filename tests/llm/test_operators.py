@@ -492,3 +492,20 @@ def test_html_of_odd_rows(spark):
     assert sorted((r.page_id, r.main_text) for r in html_extract.main_text(df).collect()) == [(1, ""), (2, ""), (3, "some words here"), (3, "some words here")]
     assert html_extract.main_text(df.filter("page_id > 9")).count() == 0
     assert html_extract.main_text(df.filter("page_id < 3")).count() == 2
+
+
+def test_web_tokens_in_linear_time_and_as_the_plain_pattern():
+    import random
+    import time
+
+    bit = next(i for i, r in enumerate(secret_scan.RULES) if r.kind == "jwt")
+    part = r"[A-Za-z0-9_\-]"
+    plain = re.compile(rf"eyJ{part}{{8,}}\.{part}{{8,}}\.({part}+)".encode())
+    rng = random.Random(3)
+    for _ in range(4000):
+        text = "".join(rng.choice(["eyJ", "abcdefgh", "x", ".", ".", " ", "eyJabcdefgh."]) for _ in range(rng.randrange(40))).encode()
+        want = [(m.start(), bit, m.end()) for m in plain.finditer(text) if m.end(1) - m.start(1) >= 8]
+        assert secret_scan.spans_of(text, secret_scan.RULES, 1 << bit) == want
+    begun = time.perf_counter()
+    assert secret_scan.spans_of(b"eyJ" * 400_000, secret_scan.RULES, 1 << bit) == []
+    assert time.perf_counter() - begun < 2
