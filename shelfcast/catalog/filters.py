@@ -107,7 +107,9 @@ def p5_future_covariates(spark, sf):
          (select distinct date from filled) order by date limit 1 offset 180)""",
 )
 def p6_drop_warm_up(spark, sf):
-    return panel.drop_first_dates(p.filled(spark, sf), 180)
+    span = p.span(spark, sf)
+    kept = p.filled(spark, sf, span, back=(span[1] - span[0]).days + 1 - 180)
+    return panel.drop_first_dates(kept, 180, span)
 
 
 @query("p7_clip", "select unique_id, date, greatest(y - 30, 0) as y from f1")
@@ -233,7 +235,8 @@ def p21_slice(spark, sf):
 
 @query("p22_keep_last_days", "select * from filled where date > (select max(date) from f1) - 730")
 def p22_keep_last_days(spark, sf):
-    return panel.keep_last_days(p.filled(spark, sf), 730)
+    span = p.span(spark, sf)
+    return panel.keep_last_days(p.filled(spark, sf, span, back=730), 730, span[1])
 
 
 @query(

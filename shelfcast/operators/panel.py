@@ -329,8 +329,10 @@ def split_last_dates(df: DataFrame, days: int = 56) -> tuple[DataFrame, DataFram
     return df.where(F.col(DATE) < start), df.where(F.col(DATE) >= start)
 
 
-def keep_last_days(df: DataFrame, days: int = 730) -> DataFrame:
-    return df.where(F.col(DATE) > F.date_sub(last_date(df), days))
+def keep_last_days(df: DataFrame, days: int = 730, last: date | None = None) -> DataFrame:
+    """Rows of the last `days` days; a known `last` date saves the pass that looks for it."""
+    newest = last_date(df) if last is None else F.lit(last)
+    return df.where(F.col(DATE) > F.date_sub(newest, days))
 
 
 def recent_weeks(df: DataFrame, weeks: int = 4) -> DataFrame:
