@@ -113,6 +113,29 @@ def test_classify_equals_plain_thresholds(spark, monkeypatch, languages):
     assert {g[0]: g[2] for g in got}[4] is False
 
 
+def test_classify_learns_from_every_good_document(spark):
+    """More of them than the 4,000 that a sample once took; the last ones alone hold letters of their own."""
+    texts = [f"word {i} of {chr(0x4E00 + i % 500)}" for i in range(4300)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id bigint, text string, lang string")
+    labels = docs.selectExpr("doc_id", "1 as quality")
+    plain = Plain(texts)
+    got = {r.doc_id: r.perplexity for r in kneser_ney.classify(docs, labels).collect()}
+    assert got == {i: pytest.approx(plain.perplexity(t), rel=1e-9) for i, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize("common", [0, 5])
+def test_classify_by_joins_equals_the_broadcast_model(spark, monkeypatch, common):
+    docs, labels = frames(spark)
+
+    def result():
+        rows = kneser_ney.classify(docs, labels).collect()
+        return sorted((r.doc_id or 0, r.lang or "", r.kept, round(r.threshold, 9), -1 if r.perplexity is None else round(r.perplexity, 9)) for r in rows)
+
+    want = result()
+    monkeypatch.setattr(kneser_ney, "COMMON", common)
+    assert result() == want and len(want) == len(ROWS)
+
+
 def test_classify_without_trusted_rows_or_documents(spark):
     docs, labels = frames(spark)
     assert not any(r.kept for r in kneser_ney.classify(docs, labels.filter("quality = 5")).collect())
