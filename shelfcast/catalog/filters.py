@@ -174,7 +174,7 @@ def p12_rows_to_score(spark, sf):
        select * from l where lag3 is not null and not (lag1 = 0 and lag2 = 0 and lag3 = 0 and y = 0)""",
 )
 def p13_drop_all_zero_rows(spark, sf):
-    rows = panel.fill_calendar(p.supplier_sales(spark, sf), span=p.span(spark, sf))
+    rows = panel.fill_calendar(p.supplier_sales(spark, sf), span=p.span(spark, sf), spread=True)
     return features.drop_all_zero_rows(features.add_lags(rows, [1, 2, 3]))
 
 
@@ -253,7 +253,7 @@ def p23_validation_split(spark, sf):
 
 @query("p24_drop_zero_sales", "select * from filled2 where y > 0")
 def p24_drop_zero_sales(spark, sf):
-    rows = panel.fill_calendar(p.supplier_sales(spark, sf), span=p.span(spark, sf))
+    rows = panel.fill_calendar(p.supplier_sales(spark, sf), span=p.span(spark, sf), spread=True)
     return rows.where(F.col("y") > 0)
 
 

@@ -1,10 +1,13 @@
 from __future__ import annotations
 
-from datetime import date
+from collections import Counter
+from datetime import date, datetime, timedelta
 
+import pytest
 from conftest import SERIES, day
 from pyspark.sql import functions as F
 
+from shelfcast.catalog import filters
 from shelfcast.operators import histogram, panel
 
 
@@ -165,3 +168,35 @@ def test_histograms_of_empty_and_null_values(spark):
     assert [tuple(r) for r in whole.collect()] == [(2.0, 3)]
     assert {(r.g, r.v): r.n for r in by.collect()} == rows
     assert histogram.value_histograms(df.limit(0), [(("g",), "v")])[0].collect() == []
+
+
+@pytest.fixture
+def many_suppliers(spark, tmp_path):
+    """Tables of 300 suppliers with sales on four days of 60, one of them twice."""
+    days = [datetime(2024, 1, 1) + timedelta(days=d) for d in (0, 2, 3, 59, 59)]
+    lines = [(s, float(s % 7 + 1), d) for s in range(1, 301) for d in days]
+    spark.createDataFrame(lines, "l_suppkey bigint, l_quantity double, l_shipdate timestamp_ntz").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(s, s % 5) for s in range(1, 301)], "s_suppkey bigint, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    orders = [(datetime(2024, 1, 1) + timedelta(days=d), "a") for d in range(60)]
+    spark.createDataFrame(orders, "o_orderdate timestamp_ntz, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    return str(tmp_path)
+
+
+def tasks_and_rows(df):
+    """How many tasks hold rows, the largest share of one, and the rows."""
+    rows = df.withColumn("_task", F.spark_partition_id()).collect()
+    sizes = Counter(r["_task"] for r in rows)
+    return len(sizes), max(sizes.values()) / len(rows), sorted(tuple(r)[:-1] for r in rows)
+
+
+def test_p13_spreads_the_filled_rows_of_many_series(spark, many_suppliers):
+    tasks, share, rows = tasks_and_rows(filters.p13_drop_all_zero_rows(spark, many_suppliers))
+    assert tasks > 100 and share < 0.05
+    # These days have a sale on themselves or on one of the three days before.
+    assert len(rows) == 300 * 5 and {r[1] for r in rows} == {day(i) for i in (3, 4, 5, 6, 59)}
+
+
+def test_p24_spreads_the_filled_rows_of_many_series(spark, many_suppliers):
+    tasks, _, rows = tasks_and_rows(filters.p24_drop_zero_sales(spark, many_suppliers))
+    assert tasks > 100 and len(rows) == 300 * 4
+    assert all(r[2] == (int(r[0][1:]) % 7 + 1) * (2 if r[1] == day(59) else 1) for r in rows)
