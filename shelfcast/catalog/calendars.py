@@ -104,6 +104,7 @@ def g4_series_fill(spark, sf):
             "nation": (homes, "unique_id"),
             "day_class": (p.day_class(spark, sf), "date"),
         },
+        spread=True,
     )
 
 

@@ -7,7 +7,7 @@ import pytest
 from conftest import SERIES, day
 from pyspark.sql import functions as F
 
-from shelfcast.catalog import filters
+from shelfcast.catalog import calendars, filters
 from shelfcast.operators import histogram, panel
 
 
@@ -200,3 +200,12 @@ def test_p24_spreads_the_filled_rows_of_many_series(spark, many_suppliers):
     tasks, _, rows = tasks_and_rows(filters.p24_drop_zero_sales(spark, many_suppliers))
     assert tasks > 100 and len(rows) == 300 * 4
     assert all(r[2] == (int(r[0][1:]) % 7 + 1) * (2 if r[1] == day(59) else 1) for r in rows)
+
+
+def test_g4_spreads_the_filled_rows_of_many_series(spark, many_suppliers):
+    tasks, share, rows = tasks_and_rows(
+        calendars.g4_series_fill(spark, many_suppliers).select("unique_id", "date", "y", "nation", "day_class")
+    )
+    assert tasks > 100 and share < 0.05
+    assert len(rows) == 300 * 60 and {r[1] for r in rows} == {day(i) for i in range(60)}
+    assert all(r[3] == int(r[0][1:]) % 5 and r[4] == "a" and (r[2] > 0) == (r[1] in {day(0), day(2), day(3), day(59)}) for r in rows)
