@@ -1,12 +1,13 @@
 """License scans by conditional compression.
 
 A candidate block is the words around a word of license notices, across lines; blocks
-that touch are one. Names with their versions are looked for from left to right. At
-each, every template that holds such a name is aligned with the words around it, no
-further than the template reaches; the stretch that agrees, which must hold the name,
-is compressed alone and with the template as a zstandard raw dictionary. The template
-that saves most bytes wins, if the words that differ bear it out, and the search goes
-on behind the notice. Lines that state a license by its SPDX identifier are read as
+that touch are one. Names with their versions, and phrases of the license texts that
+are telling without a name, are looked for from left to right. The words around such a
+place are compressed alone and with every template of every license as a zstandard raw
+dictionary. The templates that shorten them, by bytes saved, are confirmed by wording:
+each is aligned with the words, no further than it reaches, and the stretch that agrees
+must hold its license's name or phrase. Of the confirmed ones the template that saves
+most bytes of its own stretch wins, and the search goes on behind the notice. Lines that state a license by its SPDX identifier are read as
 such. Equal blocks, and equal words around a name, are judged once per worker.
 
 Defined results: a null or empty text has no notices; a tie goes to the longer
@@ -80,6 +81,17 @@ NAMES = {
         "Unlicense": r"the unlicense|free and unencumbered software released into the public domain",
     }.items()
 }
+#: Wording that is telling where no name stands; it follows the name in its template.
+PHRASES = {
+    name: re.compile(rf"(?<![^ ])(?:{pattern})(?![^ ])")
+    for name, pattern in {
+        "Apache-2.0": r"https? www\.apache\.org licenses license-2\.0",
+        "MIT": r"in no event shall the authors or copyright holders be liable for any claim",
+        "BSD-3-Clause": r"neither the name of the copyright holder nor the names of its contributors",
+        "MPL-2.0": r"if a copy of the mpl was not distributed with this file",
+        "Unlicense": r"anyone is free to copy modify publish use compile sell or distribute this software",
+    }.items()
+}
 _OTHER = re.compile(r"(?<![^ ])(?:lesser|library|affero)(?: gnu)? general public licen[sc]e")
 _STATED = re.compile(r"(?:SPDX-License-Identifier|\blicen[sc]e)[ \t]*:[ \t]*([\w.+()-]+(?:[ \t]+(?:AND|OR|WITH)[ \t]+[\w.+()-]+)*)(?=[ \t]*(?:$|\*/|-->|[\"',;.]))", re.I | re.M)
 _CLOSE = re.compile(r"[.)\"']*")
@@ -87,6 +99,8 @@ _SUFFIX = re.compile(r"(?:-only|-or-later|\+)$")
 #: A stretch has at most a fifth of errors from either end on: an error outweighs four agreeing words.
 ERROR = 4
 LEAST, GRANT = 3, 5
+#: Words of a notice without a name, and the share of them that may differ.
+NAMELESS, DIFFER = 16, 0.1
 #: Words on either side of a hint, and from a notice to the words that complete its name.
 AROUND = 90
 NOTICE = "array<struct<license:string,start:int,end:int,reduction:double,difference:double>>"
@@ -108,18 +122,19 @@ def _words(text: str) -> list[tuple[str, int, int]]:
 
 
 @functools.lru_cache(maxsize=1)
-def _phrases() -> dict[str, list[tuple[int, list[str], int, int]]]:
-    """Per license its templates that hold its name: number, words, and words before and after the name."""
-    found: dict[str, list] = {}
+def _phrases() -> dict[tuple[str, bool], dict[int, tuple[list[str], int, int]]]:
+    """Per license, by name or by phrase, its templates that hold it: words, and words before and after it."""
+    found: dict[tuple[str, bool], dict] = {}
     for name, listed in TEMPLATES.items():
-        found[name] = []
-        for k, t in enumerate(listed):
-            words = [w for w, _, _ in _words(t)]
-            m = NAMES[name].search(" ".join(words))
-            if m:
-                before = " ".join(words)[: m.start()].count(" ")
-                inside = m[0].count(" ") + 1
-                found[name].append((k, words, before, len(words) - before - inside))
+        for named, patterns in ((True, NAMES), (False, PHRASES)):
+            found[name, named] = {}
+            for k, t in enumerate(listed):
+                words = [w for w, _, _ in _words(t)]
+                m = patterns[name].search(" ".join(words)) if name in patterns else None
+                if m:
+                    before = " ".join(words)[: m.start()].count(" ")
+                    inside = m[0].count(" ") + 1
+                    found[name, named][k] = (words, before, len(words) - before - inside)
     return found
 
 
@@ -154,17 +169,34 @@ def _saved(name: str, k: int, text: str) -> tuple[int, float]:
     return saved, saved / alone
 
 
+@functools.lru_cache(maxsize=1)
+def _plain_compressors():
+    return {
+        (name, k): zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(" ".join(w for w, _, _ in _words(t)).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+        for name, listed in TEMPLATES.items()
+        for k, t in enumerate(listed)
+    }
+
+
 @functools.lru_cache(maxsize=20_000)
-def _agreements(name: str, words: tuple[str, ...], first: int, last: int) -> tuple[tuple[int, int, int, int, int], ...]:
-    """(template, score, begin, end, agreeing words) of each template of a license around its name at first..last."""
-    found = []
-    for k, template, before, after in _phrases()[name]:
-        low = max(0, first - before - len(template) // ERROR - 1)
-        high = last + 1 + after + len(template) // ERROR + 1
-        score, begin, end, same = _stretch(list(words[low:high]), template, first - low, last - low)
-        if same and end - begin >= LEAST:
-            found.append((k, score, begin + low, end + low, same))
-    return tuple(found)
+def _ranked(words: str) -> tuple[tuple[str, int], ...]:
+    """The templates (license, number) of all licenses that shorten the compressed words, by bytes saved, most first."""
+    raw = words.encode()
+    alone = len(_compressors()[0].compress(raw))
+    sizes = {template: len(c.compress(raw)) for template, c in _plain_compressors().items()}
+    return tuple(sorted((x for x in sizes if sizes[x] < alone), key=sizes.get))
+
+
+@functools.lru_cache(maxsize=20_000)
+def _agreement(name: str, k: int, named: bool, words: tuple[str, ...], first: int, last: int) -> tuple[int, int, int, int] | None:
+    """(score, begin, end, agreeing words) of a template aligned around its license's name or phrase at first..last."""
+    if k not in _phrases()[name, named]:
+        return None
+    template, before, after = _phrases()[name, named][k]
+    low = max(0, first - before - len(template) // ERROR - 1)
+    high = last + 1 + after + len(template) // ERROR + 1
+    score, begin, end, same = _stretch(list(words[low:high]), template, first - low, last - low)
+    return (score, begin + low, end + low, same) if same and end - begin >= LEAST else None
 
 
 @functools.lru_cache(maxsize=20_000)
@@ -184,29 +216,40 @@ def judge(block: str) -> tuple[tuple[str, int, int, float, float], ...]:
         i = bisect.bisect_right(other_ends, begin)
         return i < len(others) and others[i][0] < end
 
-    named = []
-    for place, (name, pattern) in enumerate(NAMES.items()):
-        for m in pattern.finditer(joined):
-            if not is_other(*m.span()):
-                first = bisect.bisect_right(starts, m.start()) - 1
-                last = bisect.bisect_right(starts, m.end() - 1) - 1
-                named.append((first, last, place, name))
-    named.sort()
-    low = i = 0
-    while i < len(named):
-        rivals = [x for x in named[i : i + len(NAMES)] if x[0] <= named[i][1]]
-        i += 1
+    order = list(TEMPLATES)
+    places = []
+    for is_name, patterns in ((True, NAMES), (False, PHRASES)):
+        for name, pattern in patterns.items():
+            for m in pattern.finditer(joined):
+                if not is_other(*m.span()):
+                    first = bisect.bisect_right(starts, m.start()) - 1
+                    last = bisect.bisect_right(starts, m.end() - 1) - 1
+                    places.append((first, last, order.index(name), name, is_name))
+    places.sort()
+    names = [x[:4] for x in places if x[4]]
+    firsts = [x[0] for x in names]
+    low = 0
+    for i, here in enumerate(places):
+        rivals = [x for x in places[i : i + 2 * len(NAMES)] if x[0] <= here[1]]
         options = []
-        for first, last, place, name in rivals:
+        for first, last, place, name, is_name in rivals:
             if first < low:
                 continue
             base = max(low, first - AROUND)
-            high = _next_name(named, i, last, name, len(plain))
-            agreed = _agreements(name, tuple(plain[base:high]), first - base, last - base)
+            high = _next_name(names, bisect.bisect_right(firsts, here[0]), last, name, len(plain))
+            around = tuple(plain[base:high])
+            agreed = []
+            for other, k in _ranked(" ".join(around)):
+                if other == name and (found_at := _agreement(name, k, is_name, around, first - base, last - base)):
+                    agreed.append((k, *found_at))
+            if not is_name:
+                agreed = [x for x in agreed if x[3] - x[2] >= NAMELESS and 1 - x[4] / (x[3] - x[2]) <= DIFFER]
             # A name that is spelt unlike every template is a notice with the words of a grant before it.
-            for k, score, begin, end, same in agreed or [(0, last + 1 - first, first - base, last + 1 - base, last + 1 - first)]:
+            elif not agreed:
+                agreed = [(0, last + 1 - first, first - base, last + 1 - base, last + 1 - first)]
+            for k, score, begin, end, same in agreed:
                 begin, end = begin + base, end + base
-                if end - begin < GRANT and "under" not in plain[max(low, first - 7) : first]:
+                if is_name and end - begin < GRANT and "under" not in plain[max(low, first - 7) : first]:
                     continue
                 saved, share = _saved(name, k, block[words[begin][1] : words[end - 1][2]])
                 options.append((saved, score, -place, name, begin, end, share, max(0.0, 1 - same / (end - begin))))

@@ -509,3 +509,25 @@ def test_web_tokens_in_linear_time_and_as_the_plain_pattern():
     begun = time.perf_counter()
     assert secret_scan.spans_of(b"eyJ" * 400_000, secret_scan.RULES, 1 << bit) == []
     assert time.perf_counter() - begun < 2
+
+
+@pytest.mark.parametrize(
+    ("license", "k", "begin"),
+    [("MIT", 2, "THE SOFTWARE IS"), ("Apache-2.0", 1, "you may not use"), ("BSD-3-Clause", 1, "3. Neither"), ("Unlicense", 0, "Anyone is free")],
+)
+def test_license_texts_without_their_name(license, k, begin):
+    """A template of any license that shortens the words is a candidate, whether or not the license is named."""
+    template = license_scan.TEMPLATES[license][k]
+    rest = template[template.index(begin) :]
+    found = license_scan.notices(f"Copyright 2020 A. {rest}")
+    assert [n["license"] for n in found] == [license] and found[0]["reduction"] > 0.3 and found[0]["difference"] < 0.05
+    plain = " ".join(w for w, _, _ in license_scan._words(rest))
+    assert license_scan._ranked(plain)[0] == (license, k)
+
+
+def test_license_texts_of_others_are_not_notices():
+    bsd, apache = license_scan.TEMPLATES["BSD-3-Clause"][1], license_scan.TEMPLATES["Apache-2.0"][1]
+    url = "http://www.apache.org/licenses/LICENSE-2.0"
+    other = apache.replace("Apache License", "Educational Community License").replace(url, "http://opensource.org/licenses/ECL-2.0")
+    for text in (bsd[: bsd.index("3. Neither")], other, f"The license is at {url} for all to read, and it is long enough, we believe, to go on with"):
+        assert license_scan.notices(text) == []
