@@ -181,3 +181,15 @@ def test_weekday_profile_uses_its_covariates(spark):
     assert by_model[profile.labels.primary] > 0 and found.where(F.weekday("date") > 4).count() == 0
     with pytest.raises(ValueError, match="future covariates"):
         weekly.publish_week(known, profile)
+
+
+def test_the_sweeps_panel_reads_the_facts_once(spark):
+    """It stands on stored daily rows, and is what one pass per step would give."""
+    days = p.span(spark, SF)
+    rows = queries._covariate_history(spark, SF, days)
+    assert not any("lineitem" in f for f in rows.inputFiles())
+    names = ["sell_price", "event_type_1", "snap"]
+    plain = queries.panel.fill_calendar(p.brand_with_covariates(spark, SF), covars=names, span=days)
+    plain = queries.panel.fill_most_frequent(plain, item_covars=names[:2], item_time_covars=names[2:])
+    plain = queries.panel.drop_first_dates(queries.features.categorise(plain, ["event_type_1"]), 180, days)
+    assert rows.columns == plain.columns and rows.exceptAll(plain).count() == plain.exceptAll(rows).count() == 0
