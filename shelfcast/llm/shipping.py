@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
 import tempfile
 import zipfile
 from pathlib import Path
@@ -25,10 +28,30 @@ def ship(spark: SparkSession) -> None:
     _sent.add(context.applicationId)
 
 
+def give_back() -> None:
+    """Freed memory goes back to the system, since a worker lives on for the tasks of other stages."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(function):
+    """The same Arrow function, which gives memory back when its task ends."""
+
+    @functools.wraps(function)
+    def run(batches):
+        yield from function(batches)
+        give_back()
+
+    return run
+
+
 def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
     """df.mapInArrow, with the package at hand."""
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(tidy(function), schema)
 
 
 def append_column(df: DataFrame, source: str, out: str, kind: str, compute, rows: int = 2000) -> DataFrame:
@@ -52,4 +75,4 @@ def append_column(df: DataFrame, source: str, out: str, kind: str, compute, rows
 
     schema = df.drop(out).schema.add(out, _parse_datatype_string(kind))
     ship(df.sparkSession)
-    return df.mapInArrow(extend, schema)
+    return df.mapInArrow(tidy(extend), schema)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import random
 import re
 from pathlib import Path
 
@@ -42,6 +43,71 @@ def test_keep_first_keeps_rows_without_id_and_one_of_repeated_rows(spark, docs):
     )
 
 
+def near_copies(seed, copies, changes=5):
+    """Texts of 120 words; a group's copies have up to `changes` words of the base changed, others share a line only."""
+    rng = random.Random(seed)
+    base, line = rng.choices(WORDS, k=120), " ".join(rng.choices(WORDS, k=12))
+    texts = []
+    for i in range(copies):
+        words = list(base)
+        for at in rng.sample(range(120), rng.randint(0, changes)):
+            words[at] = f"new{rng.randrange(10_000)}"
+        texts.append(" ".join(words))
+        texts.append(line + " " + " ".join(rng.choices(WORDS, k=rng.randint(2, 30))))
+    return texts
+
+
+def plain_components(texts):
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.lower().split() for t in texts)]
+    found = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and found[a] != found[b]:
+                low, high = sorted((found[a], found[b]))
+                found = [low if x == high else x for x in found]
+    return found
+
+
+@pytest.mark.parametrize("few", [2_000_000, -1])
+def test_near_copies_in_many_chunks_are_shipped_about_once(spark, monkeypatch, few):
+    texts = near_copies(1, 150) + near_copies(2, 40, changes=2)
+    want = plain_components(texts)
+    monkeypatch.setattr(jaccard, "CHUNK", 6_000)
+    monkeypatch.setattr(jaccard, "BROADCAST_IDS", few)
+    seen, verify = [], jaccard._compared
+    monkeypatch.setattr(jaccard, "_compared", lambda *a, **k: seen.append(verify(*a, **k)) or seen[-1])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+    assert max(want.count(x) for x in set(want)) > 70
+    # the copies lie in ten chunks and more; every two of these compared would ship each set ten times and more
+    rows = seen[0].groupBy("class").count().collect()
+    assert seen[0].select("chunk").distinct().count() >= 10 and sum(r["count"] for r in rows) < 4 * len(rows)
+
+
+def test_packed_keys_come_back_and_take_few_bytes_in_any_number_of_parts():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    keys, of = rng.integers(0, 1 << 63, 60_000, dtype=np.uint64), np.sort(rng.integers(0, 200, 60_000)).astype(np.int32)
+    owners, tags = rng.integers(-(1 << 62), 1 << 62, 200), (np.arange(200) % 3 + 150 << 20) + 40
+    for parts in (1, 7, 300):
+        rows = list(jaccard.pack(keys, owners, tags, of, parts))
+        assert sum(len(data) for *_, data in rows) < 16 * len(keys)
+        low, whose, tag = jaccard.unpack([(n, data) for _, n, data in rows])
+        every = sorted(zip((keys & np.uint64((1 << jaccard.KEY_BITS) - 1)).tolist(), owners[of].tolist(), tags[of].tolist(), strict=True))
+        assert sorted(zip(low.tolist(), whose.tolist(), tag.tolist(), strict=True)) == every
+
+
+def test_meetings_count_keys_of_unlike_classes_under_the_smallest():
+    import numpy as np
+
+    rows = [(1, 5, 9), (1, 3, 9), (1, 5, 9), (2, 3, 9), (2, 5, 9), (3, 5, 9), (3, 5, 9), (4, 7, 9), (5, 5, 8), (5, 7, 9)]
+    got = jaccard.meetings(*(np.array(c, t) for c, t in zip(zip(*rows, strict=True), (np.uint64, np.int64, np.int64), strict=True)))
+    assert sorted(zip(*(c.tolist() for c in got), strict=True)) == [(3, 9, 3, 2), (5, 8, 5, 1), (5, 9, 3, 2), (7, 9, 5, 1)]
+    assert all(len(c) == 0 for c in jaccard.meetings(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)))
+
+
 def test_near_duplicates_of_an_empty_table(docs):
     assert jaccard.near_duplicates(docs.filter("doc_id < 0")).count() == 0
 
