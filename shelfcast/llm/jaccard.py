@@ -499,9 +499,14 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     """One document of each group: the one with the smallest id; every column stays.
 
     Rows without an id belong to no group and all stay. Of rows with equal id and text one stays; unlike texts under
-    one id are not taken for repetitions.
+    one id are not taken for repetitions. Only ids that go or come more than once are looked for, and only rows of the
+    latter moved.
     """
     named = docs.where(F.col(f"`{key}`").isNotNull())
-    kept = near_duplicates(named, key, text).filter("doc_id = component_id").select(F.col("doc_id").alias("__kept"))
-    first = named.join(kept.distinct(), named[key] == F.col("__kept"), "left_semi").dropDuplicates([key, text])
-    return first.unionByName(docs.where(F.col(f"`{key}`").isNull()))
+    of_id = near_duplicates(named, key, text).groupBy("doc_id")
+    known = of_id.agg(F.max(F.col("doc_id") == F.col("component_id")).alias("__stays"), F.count("*").alias("__times"))
+    told = _staged(known.filter("not __stays or __times > 1").withColumnRenamed("doc_id", "__known"), "told")
+    found = named.join(_if_few(told), named[key] == F.col("__known"), "left")
+    once = found.filter("__known is null").select(*(named[f"`{c}`"] for c in docs.columns))
+    twice = found.filter("__stays").select(*(named[f"`{c}`"] for c in docs.columns)).dropDuplicates([key, text])
+    return once.unionByName(twice).unionByName(docs.where(F.col(f"`{key}`").isNull()))

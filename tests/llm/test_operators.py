@@ -108,6 +108,14 @@ def test_meetings_count_keys_of_unlike_classes_under_the_smallest():
     assert all(len(c) == 0 for c in jaccard.meetings(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)))
 
 
+def test_keep_first_moves_no_texts_but_of_ids_that_come_twice(spark, docs, tmp_path):
+    more = docs.unionByName(spark.createDataFrame([(1, LONG), (9, "unlike"), (9, "unlike")], "doc_id bigint, text string"))
+    more.write.parquet(f"{tmp_path}/docs")
+    kept = jaccard.keep_first(spark.read.parquet(f"{tmp_path}/docs"))
+    assert "SortMergeJoin" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.doc_id, len(r.text or "")) for r in kept.collect()) == [(1, len(LONG)), (4, 0), (5, 0), (6, 9), (8, 2), (9, 6), (9, 480)]
+
+
 def test_near_duplicates_of_an_empty_table(docs):
     assert jaccard.near_duplicates(docs.filter("doc_id < 0")).count() == 0
 
