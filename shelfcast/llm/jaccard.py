@@ -228,9 +228,8 @@ def _emit(batches, parts: int):
 def meetings(keys: np.ndarray, owners: np.ndarray, tags: np.ndarray) -> list[np.ndarray]:
     """Arrays class, tag, leader, shared: how many keys a class has under a leader, of the keys that unlike classes share."""
     order = np.argsort(keys)
-    same = keys[order]
-    same = same[1:] == same[:-1]
-    order = order[np.concatenate([same, [False]]) | np.concatenate([[False], same])]
+    same = np.flatnonzero(np.diff(keys[order]) == 0)
+    order = order[np.union1d(same, same + 1)]
     order = order[np.lexsort((owners[order], keys[order]))]
     keys, owners, tags = keys[order], owners[order], tags[order]
     fresh = np.ones(len(keys), bool)
